@@ -12,6 +12,12 @@ UNKNOWN = "UNKNOWN"
 NO_CATEGORY = -1
 
 
+def month_of(day: Column) -> Column:
+    """First day of the month: a cheap four-byte grouping key. Formatting a date costs
+    far more, so it is left for the finished rows."""
+    return F.trunc(day, "month")
+
+
 def year_month(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 

@@ -1,7 +1,7 @@
 """Data contract over a stage-metrics table: ten rules in three layers.
 
-All value rules are counted in one aggregation over the table. Failing rows are
-opened only to keep five sample keys per rule.
+The table is reduced once to counts per uniqueness key. Rule counts, duplicate keys
+and the sample keys all come from that one shuffle.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.labels import any_of
-from millrace.operators.aggregates import duplicate_groups
 from millrace.operators.ranking import top_n
 from millrace.operators.stagemetrics import OPTIONAL_METRICS
 
@@ -21,6 +20,7 @@ SEMANTIC = "SEMANTIC"
 CORRELATION = "CORRELATION"
 LAYERS = (SCHEMA, SEMANTIC, CORRELATION)
 SAMPLE_KEYS = 5
+UNIQUENESS = "CORRELATION_UNIQUENESS_KEY"
 
 
 @dataclass(frozen=True)
@@ -230,64 +230,96 @@ def _findings(df: DataFrame, contract: Contract) -> dict[str, _Finding]:
             list(contract.expected_values),
             lambda n: F.col(n).isNull() | (F.col(n) != F.lit(contract.expected_values[n])),
         ),
-        "CORRELATION_UNIQUENESS_KEY": _Finding(unkeyed, len(unkeyed)),
+        UNIQUENESS: _Finding(unkeyed, len(unkeyed)),
     }
 
 
-def _key_json(names: list[str]) -> Column:
-    return F.to_json(F.struct(*sorted(names)), {"ignoreNullFields": "false"})
+def _per_key(df: DataFrame, key: list[str], bad_rows: dict[str, Column]) -> DataFrame:
+    """Rows and bad rows per uniqueness key: the only pass over the table."""
+    return df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(condition).alias(name) for name, condition in bad_rows.items()],
+    )
 
 
-def contract_results(
-    df: DataFrame,
-    contract: Contract = Contract(),
-    validation_run_id: str = "",
-    source_path: str = "",
-    created_at: str | None = None,
-) -> DataFrame:
-    """One row per rule. A rule fails when its count is above zero, whatever its
-    severity. Samples are the first five failing keys in key order."""
-    findings = _findings(df, contract)
-    value_rules = {name: f.bad_row for name, f in findings.items() if f.bad_row is not None}
-    key = [name for name in contract.uniqueness_key if name in df.columns]
-    unique_checked = not findings["CORRELATION_UNIQUENESS_KEY"].missing
+def _counts(per_key: DataFrame, bad_rows: dict[str, Column]) -> DataFrame:
+    """One row: bad rows per rule and the number of duplicate keys."""
+    zero = F.lit(0).cast("long")
+    return per_key.agg(
+        F.count_if(F.col("_rows") > 1).alias(UNIQUENESS),
+        *[F.coalesce(F.sum(name), zero).alias(name) for name in bad_rows],
+    )
 
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(condition).alias(name) for name, condition in value_rules.items()],
+
+def _samples(
+    per_key: DataFrame, key: list[str], bad_rows: dict[str, Column], unique_checked: bool
+) -> DataFrame:
+    """First failing keys per rule. Each task cuts its keys to five per rule before
+    they are shuffled."""
+    failing = {name: F.col(name) > 0 for name in bad_rows}
+    if unique_checked:
+        failing[UNIQUENESS] = F.col("_rows") > 1
+    broken = F.array_compact(
+        F.array(*[F.when(condition, F.lit(name)) for name, condition in failing.items()])
+    )
+    text = F.to_json(F.struct(*sorted(key)), {"ignoreNullFields": "false"})
+    keys = per_key.where(any_of(list(failing.values()))).select(
+        text.alias("key"), F.explode(broken).alias("rule_id")
+    )
+    kept = top_n(keys, ["rule_id"], [F.asc("key")], SAMPLE_KEYS)
+    return kept.groupBy("rule_id").agg(
+        F.concat_ws(";", F.sort_array(F.collect_list("key"))).alias("sample")
     )
-    statements = F.array(
+
+
+def _statements(contract: Contract, findings: dict[str, _Finding], counted: set[str]) -> Column:
+    """The rule rows over the one row of counts."""
+    return F.array(
         *[
             F.struct(
-                F.lit(position).alias("position"),
                 F.lit(rule.rule_id).alias("rule_id"),
                 F.lit(rule.name).alias("rule_name"),
                 F.lit(rule.layer).alias("rule_type"),
                 F.lit(contract.severity.get(rule.severity_key, "ERROR")).alias("severity"),
                 (
                     F.lit(findings[rule.rule_id].counted).cast("long")
-                    + (F.col(rule.rule_id) if rule.rule_id in value_rules else F.lit(0))
-                ).alias("known_count"),
+                    + (F.col(rule.rule_id) if rule.rule_id in counted else F.lit(0))
+                ).alias("failed_count"),
                 F.lit(findings[rule.rule_id].note).alias("note"),
                 F.lit(rule.recommendation).alias("recommendation"),
             )
-            for position, rule in enumerate(RULES)
+            for rule in RULES
         ]
     )
-    rules = counts.select(F.inline(statements))
 
-    samples, duplicates = _failing_keys(df, value_rules, key, unique_checked)
-    results = rules.join(samples, on="rule_id", how="left")
-    if duplicates is not None:
-        results = results.join(duplicates, on="rule_id", how="left")
-        duplicate_count = F.coalesce(F.col("duplicate_groups"), F.lit(0))
+
+def contract_results(
+    df: DataFrame,
+    contract: Contract = Contract(),
+    validation_run_id: str = "",
+    source_path: str = "",
+    created_at: str | None = None,
+) -> DataFrame:
+    """One row per rule. A rule fails when its count is above zero, whatever its
+    severity. Samples are the first five failing keys in key order."""
+    findings = _findings(df, contract)
+    bad_rows = {name: f.bad_row for name, f in findings.items() if f.bad_row is not None}
+    key = [name for name in contract.uniqueness_key if name in df.columns]
+    unique_checked = not findings[UNIQUENESS].missing
+    per_key = _per_key(df, key, bad_rows)
+    counted = {*bad_rows, UNIQUENESS} if unique_checked else set(bad_rows)
+    results = _counts(per_key, bad_rows).select(
+        F.inline(_statements(contract, findings, counted))
+    )
+    if key:
+        samples = _samples(per_key, key, bad_rows, unique_checked)
+        results = results.join(samples, on="rule_id", how="left")
     else:
-        duplicate_count = F.lit(0)
+        results = results.withColumn("sample", F.lit(None).cast("string"))
     sample = F.when(F.col("note") == "", F.coalesce("sample", F.lit(""))).otherwise(
-        F.concat_ws(";", F.col("note"), F.col("sample"))
+        F.concat_ws(";", "note", "sample")
     )
     stamp = F.lit(created_at) if created_at else F.current_timestamp().cast("string")
-    failed = F.col("known_count") + duplicate_count
     return results.select(
         F.lit(validation_run_id).alias("validation_run_id"),
         F.lit(source_path).alias("source_path"),
@@ -296,44 +328,14 @@ def contract_results(
         "rule_name",
         "rule_type",
         "severity",
-        F.when(failed > 0, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("decision"),
-        failed.alias("failed_count"),
+        F.when(F.col("failed_count") > 0, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("decision"),
+        "failed_count",
         sample.alias("sample_failed_keys"),
         "recommendation",
         stamp.alias("created_at"),
     )
 
 
-def _failing_keys(
-    df: DataFrame, value_rules: dict[str, Column], key: list[str], unique_checked: bool
-) -> tuple[DataFrame, DataFrame | None]:
-    """Sample keys per rule and, where the key can be checked, the number of
-    duplicate key groups. Spark cuts the samples to five per rule inside each task."""
-    if not key:
-        nothing = df.sparkSession.createDataFrame([], "rule_id string, sample string")
-        return nothing, None
-    broken = F.array_compact(
-        F.array(*[F.when(condition, F.lit(name)) for name, condition in value_rules.items()])
-    )
-    failing = (
-        df.select(_key_json(key).alias("key"), broken.alias("broken"))
-        .where(F.size("broken") > 0)
-        .select("key", F.explode("broken").alias("rule_id"))
-    )
-    duplicates = None
-    if unique_checked:
-        groups = duplicate_groups(df, key).select(
-            _key_json(key).alias("key"), F.lit("CORRELATION_UNIQUENESS_KEY").alias("rule_id")
-        )
-        failing = failing.unionByName(groups)
-        duplicates = groups.groupBy("rule_id").agg(F.count(F.lit(1)).alias("duplicate_groups"))
-    kept = top_n(failing, ["rule_id"], [F.asc("key")], SAMPLE_KEYS)
-    samples = kept.groupBy("rule_id").agg(
-        F.concat_ws(";", F.sort_array(F.collect_list("key"))).alias("sample")
-    )
-    return samples, duplicates
-
-
 def layer_decisions(results: DataFrame) -> DataFrame:
     """PASS or FAIL per layer; a layer without rules passes."""
     layers = F.array(*[F.lit(layer) for layer in LAYERS])

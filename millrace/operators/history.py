@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from millrace.functions.ratios import gc_share_pct, mebibytes, per_million
 from millrace.operators.stagemetrics import run_metrics
@@ -111,27 +112,34 @@ def run_kpis(history: DataFrame) -> DataFrame:
     )
 
 
-def normal_day_baseline(history: DataFrame) -> DataFrame:
-    """Median of each drift metric over the NORMAL days of a run, zeros left out; 1.0
-    without such a day. A run has one row per date, so a group stays small."""
+def _baseline(name: str) -> Column:
+    """Median of a metric over the NORMAL days, zeros left out; 1.0 without such a day."""
+    normal = F.when((F.col("spike_label") == "NORMAL") & (F.col(name) != 0), F.col(name))
+    return F.percentile(normal, 0.5)
 
-    def median(name: str) -> Column:
-        normal = F.when((F.col("spike_label") == "NORMAL") & (F.col(name) != 0), F.col(name))
-        middle = F.percentile(normal, 0.5)
-        return F.coalesce(F.nullif(middle, F.lit(0.0)), F.lit(1.0)).alias(f"{name}_baseline")
 
-    return history.groupBy("run_id").agg(*[median(name) for name in DRIFT_METRICS])
+def _usable_baseline(median: Column) -> Column:
+    return F.coalesce(F.nullif(median, F.lit(0.0)), F.lit(1.0))
+
+
+def normal_day_baseline(history: DataFrame) -> DataFrame:
+    """Baseline of each drift metric per run. A run has one row per date, so a group
+    stays small."""
+    return history.groupBy("run_id").agg(
+        *[_usable_baseline(_baseline(name)).alias(f"{name}_baseline") for name in DRIFT_METRICS]
+    )
 
 
 def drift_index(history: DataFrame) -> DataFrame:
-    """Each drift metric over its normal-day baseline of the same run."""
-    return history.join(normal_day_baseline(history), "run_id", "left").select(
+    """Each drift metric over its normal-day baseline of the same run, in one pass."""
+    same_run = Window.partitionBy("run_id")
+    return history.select(
         "run_id",
         "processing_date",
         "spike_label",
         "source_rows_for_date",
         *[
-            (F.col(name) / F.col(f"{name}_baseline")).alias(f"{name}_index")
+            (F.col(name) / _usable_baseline(_baseline(name).over(same_run))).alias(f"{name}_index")
             for name in DRIFT_METRICS
         ],
     )

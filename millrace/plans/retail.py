@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions.hashing import XXHASH64, hash_mod
 from millrace.functions.labels import (
     category_label,
+    month_of,
     or_no_category,
     or_unknown,
     payload_columns,
@@ -35,6 +36,10 @@ SLOW_AUDIT_BUCKET = 7
 SLOW_AUDIT_REPEATS = 512
 
 
+def _formatted_month(name: str) -> Column:
+    return year_month(F.col("sale_month")).alias(name)
+
+
 def amount_cents() -> Column:
     return to_cents(F.col("sale_amount")).alias("amount_cents")
 
@@ -121,16 +126,16 @@ def regional_monthly_sales(tables: Tables, exchange: Exchange = as_planned) -> D
         add_vendor_region(fact, tables["vendors"])
         .select(
             or_unknown(F.col("vendor_region")).alias("vendor_region"),
-            year_month(F.col("sale_date")).alias("sale_year_month"),
+            month_of(F.col("sale_date")).alias("sale_month"),
             F.col("quantity").cast("long").alias("quantity"),
             "amount_cents",
         )
         .transform(exchange)
-        .groupBy("vendor_region", "sale_year_month")
+        .groupBy("vendor_region", "sale_month")
         .agg(*agg.sale_partials("quantity"))
         .select(
             "vendor_region",
-            "sale_year_month",
+            _formatted_month("sale_year_month"),
             "sale_count",
             F.col("quantity").alias("total_quantity"),
             agg.gross_amount(),
@@ -141,12 +146,12 @@ def regional_monthly_sales(tables: Tables, exchange: Exchange = as_planned) -> D
 
 def _drill_summary(fact: DataFrame) -> DataFrame:
     return (
-        fact.groupBy("vendor_region", "category_id", "sale_year_month")
+        fact.groupBy("vendor_region", "category_id", "sale_month")
         .agg(*agg.sale_partials("payload_width"))
         .select(
             "vendor_region",
             "category_id",
-            "sale_year_month",
+            _formatted_month("sale_year_month"),
             "sale_count",
             agg.gross_amount(),
             F.col("payload_width").alias("payload_bytes_observed"),
@@ -159,7 +164,7 @@ def _drill_fact(joined: DataFrame, width: Column) -> DataFrame:
     return joined.select(
         or_unknown(F.col("vendor_region")).alias("vendor_region"),
         or_no_category(F.col("category_id")).alias("category_id"),
-        year_month(F.col("sale_date")).alias("sale_year_month"),
+        month_of(F.col("sale_date")).alias("sale_month"),
         "amount_cents",
         width.alias("payload_width"),
     )
@@ -284,12 +289,20 @@ def bucket_summary(
 
 # --- two-level star summaries ---------------------------------------------------
 
-STAR_KEYS = ("vendor_region", "customer_region", "category_id", "sale_year_month")
+STAR_KEYS = ("vendor_region", "customer_region", "category_id", "sale_month")
 APPROXIMATE = "approximate"
 EXACT = "exact"
 SKETCH = "sketch"
 
 
+def by_group_and_bucket(fact: DataFrame) -> DataFrame:
+    """Default layout of the two-level jobs: raw, narrow rows move once by group and
+    bucket, and all first-level work is local after that. Aggregating before the
+    shuffle would not shrink groups this fine, and it would move a sketch or an
+    expanded row per distinct count. The bucket spreads a large group."""
+    return fact.repartition(*STAR_KEYS, "bucket")
+
+
 def _star_fact(tables: Tables, buckets: int, algorithm: str) -> DataFrame:
     sales = tables["sales"]
     bucket = hash_mod(
@@ -297,7 +310,7 @@ def _star_fact(tables: Tables, buckets: int, algorithm: str) -> DataFrame:
     ).cast("int")
     fact = sales.select(
         *[F.col(name).cast("long").alias(name) for name in ("vendor_id", "product_id", "customer_id")],
-        year_month(F.col("sale_date").cast("date")).alias("sale_year_month"),
+        month_of(F.col("sale_date").cast("date")).alias("sale_month"),
         F.col("quantity").cast("long").alias("quantity"),
         amount_cents(),
         payload_width(sales).alias("payload_width"),
@@ -348,7 +361,10 @@ def _two_level(
             F.count(F.lit(1)).alias("bucket_count"),
         )
         .select(
-            *STAR_KEYS,
+            "vendor_region",
+            "customer_region",
+            "category_id",
+            _formatted_month("sale_year_month"),
             "sale_count",
             "customer_count",
             "product_count",
@@ -369,7 +385,7 @@ def _average_per_sale() -> Column:
 def ranked_star_summary(
     tables: Tables,
     buckets: int = 256,
-    exchange: Exchange = as_planned,
+    exchange: Exchange = by_group_and_bucket,
     distinct: str = APPROXIMATE,
     algorithm: str = XXHASH64,
 ) -> DataFrame:
@@ -380,7 +396,7 @@ def ranked_star_summary(
 def fingerprint_workload(
     tables: Tables,
     buckets: int = 512,
-    exchange: Exchange = as_planned,
+    exchange: Exchange = by_group_and_bucket,
     distinct: str = APPROXIMATE,
     algorithm: str = XXHASH64,
 ) -> DataFrame:
@@ -397,8 +413,9 @@ def fingerprint_workload(
 
 def _business_fact(joined: DataFrame, *extra: Column) -> DataFrame:
     return joined.select(
-        year_month(F.col("sale_date")).alias("order_month"),
+        month_of(F.col("sale_date")).alias("sale_month"),
         or_unknown(F.col("region")).alias("region"),
+        # The label groups: numbers of three digits share the label of their first two.
         category_label(F.col("category_id")).alias("category"),
         F.col("customer_id").cast("long").alias("customer_id"),
         "amount_cents",
@@ -408,14 +425,14 @@ def _business_fact(joined: DataFrame, *extra: Column) -> DataFrame:
 
 def _business_totals(fact: DataFrame) -> DataFrame:
     return (
-        fact.groupBy("order_month", "region", "category")
+        fact.groupBy("sale_month", "region", "category")
         .agg(
             F.sum("amount_cents").alias("amount_cents"),
             F.count(F.lit(1)).alias("order_count"),
             F.count_distinct("customer_id").alias("customer_count"),
         )
         .select(
-            "order_month",
+            _formatted_month("order_month"),
             "region",
             "category",
             from_cents(F.col("amount_cents")).alias("gross_revenue"),

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.generate.volume import planned_volumes
 from millrace.operators import budget, history, overhead, stagemetrics, taskstats
 from millrace.plans import observability
 from millrace.queries import events as event_queries
 from millrace.queries.quality import RUNS
-from millrace.queries.sql import bigint, ratio
+from millrace.queries.sql import bigint, ratio, rounded
 from millrace.sources import eventlog
 from millrace.sources.tables import (
     DAILY_IDENTITY,
@@ -22,7 +23,6 @@ from millrace.sources.tables import (
     volume_bounds,
     volume_spikes,
 )
-from millrace.generate.volume import planned_volumes
 
 RUN = ["run_id"]
 # Thresholds sized for the test data, so that every profile occurs.
@@ -423,12 +423,12 @@ plain AS (
 ratios AS (
     SELECT *,
            CASE WHEN input_bytes > 0
-                THEN round(CAST(shuffle_total_bytes AS DOUBLE) / input_bytes, 6) END
+                THEN {rounded('CAST(shuffle_total_bytes AS DOUBLE) / input_bytes', 6)} END
              AS shuffle_amplification_ratio,
-           round(CAST(jvm_gc_time_ms AS DOUBLE) / executor_run_time_ms, 6) AS gc_time_ratio,
-           round(CAST(spill_total_bytes AS DOUBLE)
-                 / greatest(input_bytes, shuffle_total_bytes, 1), 6) AS spill_ratio,
-           round(CAST(num_tasks AS DOUBLE) / num_stages, 4) AS task_density_score
+           {rounded('CAST(jvm_gc_time_ms AS DOUBLE) / executor_run_time_ms', 6)} AS gc_time_ratio,
+           {rounded('CAST(spill_total_bytes AS DOUBLE) / greatest(input_bytes, shuffle_total_bytes, 1)', 6)}
+             AS spill_ratio,
+           {rounded('CAST(num_tasks AS DOUBLE) / num_stages', 4)} AS task_density_score
     FROM plain)"""
 
 _R = FINGERPRINT_RULES
@@ -478,7 +478,7 @@ FROM profiled"""
 def _growth(before: str, after: str) -> str:
     return (
         f"CASE WHEN {before} = 0 AND {after} = 0 THEN 0.0 WHEN {before} = 0 THEN 100.0 "
-        f"ELSE round((CAST({after} AS DOUBLE) - {before}) / {before} * 100.0, 4) END"
+        f"ELSE {rounded(f'(CAST({after} AS DOUBLE) - {before}) / {before} * 100.0', 4)} END"
     )
 
 
@@ -542,7 +542,7 @@ SELECT baseline_run_id, candidate_run_id, workload_name, workload_profile,
        {_DELTAS}, baseline_metrics, candidate_metrics
 FROM judged"""
 
-_OVERHEAD = """WITH measured AS (
+_OVERHEAD = f"""WITH measured AS (
     SELECT strftime(o_orderdate, '%Y') AS benchmark_id,
            CASE o_orderstatus WHEN 'F' THEN 'none' WHEN 'O' THEN 'stage' ELSE 'task' END AS mode,
            CAST(round(o_totalprice * 100) AS BIGINT) // 100 AS ms, o_custkey AS tasks,
@@ -561,8 +561,8 @@ compared AS (
     FROM by_mode m LEFT JOIN (SELECT benchmark_id, avg_ms AS base_avg, median_ms AS base_median
                               FROM by_mode WHERE mode = 'none') USING (benchmark_id))
 SELECT benchmark_id, mode, runs, avg_ms, median_ms, avg_delta_ms,
-       round(avg_delta_ms / base_avg * 100.0, 4) AS avg_delta_pct, median_delta_ms,
-       round(median_delta_ms / base_median * 100.0, 4) AS median_delta_pct,
+       {rounded('avg_delta_ms / base_avg * 100.0', 4)} AS avg_delta_pct, median_delta_ms,
+       {rounded('median_delta_ms / base_median * 100.0', 4)} AS median_delta_pct,
        avg_num_tasks, avg_shuffle_bytes_written
 FROM compared"""
 

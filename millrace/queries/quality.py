@@ -285,11 +285,11 @@ def _contract_sql(
         )
     return f"""{source},
 bad AS ({bad}),
+per_key AS (SELECT rule_id, CAST(key AS VARCHAR) AS key, count(*) AS n FROM bad GROUP BY ALL),
 numbered AS (
-    SELECT rule_id, CAST(key AS VARCHAR) AS key,
-           row_number() OVER (PARTITION BY rule_id ORDER BY CAST(key AS VARCHAR)) AS place FROM bad),
+    SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY key) AS place FROM per_key),
 evidence AS (
-    SELECT rule_id, count(*) AS n,
+    SELECT rule_id, sum(n) AS n,
            string_agg(key, ';' ORDER BY key) FILTER (WHERE place <= 5) AS sample
     FROM numbered GROUP BY 1),
 rules(rule_id, rule_type, rule_name, recommendation, note, counted) AS (

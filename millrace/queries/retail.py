@@ -21,7 +21,7 @@ def regional_monthly_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def regional_monthly_sales_keyed(spark: SparkSession, folder: str) -> DataFrame:
-    exchange = layout.keyed("vendor_region", "sale_year_month")
+    exchange = layout.keyed("vendor_region", "sale_month")
     return retail.regional_monthly_sales(line_tables(spark, folder), exchange)
 
 

@@ -57,3 +57,8 @@ def ratio(numerator: str, denominator: str) -> str:
         f"CASE WHEN {denominator} > 0 THEN CAST({numerator} AS DOUBLE) / {denominator} "
         f"WHEN {numerator} > 0 THEN 999999.0 ELSE 0.0 END"
     )
+
+
+def rounded(quotient: str, digits: int) -> str:
+    """Half-up rounding of a moderate double by its decimal digits."""
+    return f"CAST(round(CAST({quotient} AS DECIMAL(38, 15)), {digits}) AS DOUBLE)"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import pick
+from millrace.functions.labels import month_of, year_month
 from millrace.functions.money import from_cents, half_up_div, to_cents
 
 ALL_TABLES = (
@@ -24,12 +25,34 @@ ALL_TABLES = (
     "labels",
     "conversations",
 )
+# Stating the schema saves a job that would read file footers for it.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """
+        c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string""",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": """
+        p_partkey long, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """
+        o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """
+        l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string,
+        l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """
+        event_id long, ts timestamp_ntz, user_id long, event_type string, value double,
+        props string""",
+}
 REGIONS = ("BR_SP", "BR_RJ", "BR_MG", "BR_PR")
 CHANNELS = ("APP", "WEB", "API")
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def _region_by_nation(spark: SparkSession, folder: str, nation_key: str) -> Column:
@@ -144,7 +167,7 @@ def task_metrics(spark: SparkSession, folder: str) -> DataFrame:
     open_line = F.col("l_linestatus") == "O"
     deep_discount = F.col("l_discount") >= 0.095
     return (
-        lines.groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("run_id"), "l_suppkey")
+        lines.groupBy(month_of(F.col("l_shipdate")).alias("month"), "l_suppkey")
         .agg(
             F.sum(F.col("l_quantity").cast("long")).alias("duration"),
             F.sum(F.col("l_quantity").cast("long") - F.col("l_linenumber")).alias("executorRunTime"),
@@ -159,7 +182,7 @@ def task_metrics(spark: SparkSession, folder: str) -> DataFrame:
             _cents_when(deep_discount & ~open_line).alias("diskBytesSpilled"),
         )
         .select(
-            "run_id",
+            year_month(F.col("month")).alias("run_id"),
             (F.col("l_suppkey") % 5).alias("stageId"),
             F.call_function("div", F.col("l_suppkey"), F.lit(5)).alias("index"),
             F.concat(F.lit("executor-"), (F.col("l_suppkey") % 7).cast("string")).alias("executorId"),
@@ -194,7 +217,7 @@ def run_counters(spark: SparkSession, folder: str) -> DataFrame:
         return F.max(F.when(flag == value, 1).otherwise(0))
 
     per_run = lines.groupBy(
-        F.date_format("l_shipdate", "yyyy-MM").alias("month"), "l_suppkey", "l_linestatus"
+        month_of(F.col("l_shipdate")).alias("month"), "l_suppkey", "l_linestatus"
     ).agg(
         (flag_seen("A") + flag_seen("N") + flag_seen("R")).cast("long").alias("numStages"),
         F.count(F.lit(1)).alias("numTasks"),
@@ -213,7 +236,9 @@ def run_counters(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("candidate")
     )
     return per_run.select(
-        F.concat_ws("-", "month", F.col("l_suppkey").cast("string"), "l_linestatus").alias("run_id"),
+        F.concat_ws(
+            "-", year_month(F.col("month")), F.col("l_suppkey").cast("string"), "l_linestatus"
+        ).alias("run_id"),
         F.lit("supplier-lines").alias("app_name"),
         F.concat(F.lit("supplier-"), F.col("l_suppkey").cast("string")).alias("workload_name"),
         variant.alias("workload_variant"),
