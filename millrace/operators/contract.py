@@ -235,10 +235,11 @@ def _findings(df: DataFrame, contract: Contract) -> dict[str, _Finding]:
 
 
 def _per_key(df: DataFrame, key: list[str], bad_rows: dict[str, Column]) -> DataFrame:
-    """Rows and bad rows per uniqueness key: the only pass over the table."""
+    """Rows and bad rows per uniqueness key: the only pass over the table. The row count
+    stands last, where both readers keep it, so that they share one shuffle."""
     return df.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(condition).alias(name) for name, condition in bad_rows.items()],
+        F.count(F.lit(1)).alias("_rows"),
     )
 
 

@@ -11,6 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from millrace.functions.hashing import XXHASH64, hash_mod
 from millrace.functions.labels import (
@@ -319,12 +320,21 @@ def _star_fact(tables: Tables, buckets: int, algorithm: str) -> DataFrame:
     return add_star(fact, tables["vendors"], tables["products"], tables["customers"])
 
 
-def _distinct_in_bucket(column: str, method: str) -> Column:
+def _first_of_value(column: str) -> Column:
+    """1 on one row per value inside a group and bucket, 0 on the others. Adding these up
+    counts distinct values without multiplying the rows, and the sort is local to the
+    partitions the rows are in already."""
+    same_value = Window.partitionBy(*STAR_KEYS, "bucket", column).orderBy(F.lit(1))
+    is_first = F.col(column).isNotNull() & (F.row_number().over(same_value) == 1)
+    return is_first.cast("int")
+
+
+def _distinct_in_bucket(entity: str, method: str) -> Column:
     if method == EXACT:
-        return F.count_distinct(column)
+        return F.sum(f"first_{entity}")
     if method == SKETCH:
-        return F.hll_sketch_agg(column)
-    return F.approx_count_distinct(column)
+        return F.hll_sketch_agg(f"{entity}_id")
+    return F.approx_count_distinct(f"{entity}_id")
 
 
 def _distinct_over_buckets(column: str, method: str) -> Column:
@@ -342,14 +352,20 @@ def _two_level(
     customer in many buckets counts many times. ``distinct="sketch"`` merges
     sketches instead and estimates the true number.
     """
+    fact = _star_fact(tables, buckets, algorithm).transform(exchange)
+    if distinct == EXACT:
+        fact = fact.withColumns(
+            {
+                "first_customer": _first_of_value("customer_id"),
+                "first_product": _first_of_value("product_id"),
+            }
+        )
     per_bucket = (
-        _star_fact(tables, buckets, algorithm)
-        .transform(exchange)
-        .groupBy(*STAR_KEYS, "bucket")
+        fact.groupBy(*STAR_KEYS, "bucket")
         .agg(
             *agg.sale_partials("quantity", "payload_width"),
-            _distinct_in_bucket("customer_id", distinct).alias("customer_count"),
-            _distinct_in_bucket("product_id", distinct).alias("product_count"),
+            _distinct_in_bucket("customer", distinct).alias("customer_count"),
+            _distinct_in_bucket("product", distinct).alias("product_count"),
         )
     )
     return (
