@@ -34,6 +34,15 @@ class VolumePlan:
         if any(multiplier < 1 for multiplier in self.spikes.values()):
             raise ValueError("spike multipliers must be positive")
 
+    @property
+    def partitions(self) -> int:
+        """Partitions all days need together."""
+        days = (self.end - self.start).days + 1
+        volumes = [self.base_rows_per_day * m for m in self.spikes.values()]
+        volumes += [self.base_rows_per_day] * (days - len(self.spikes))
+        target, most = self.target_rows_per_partition, self.max_partitions_per_day
+        return sum(min(most, max(1, -(-rows // target))) for rows in volumes)
+
 
 def spike_label(multiplier: Column) -> Column:
     return (

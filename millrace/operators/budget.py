@@ -200,9 +200,11 @@ def metrics_json(side: str) -> Column:
     return F.to_json(F.struct(*[F.col(f"{side}.{name}").alias(name) for name in BUDGET_METRICS]))
 
 
-def decision_records(decisions: DataFrame) -> DataFrame:
-    """The stored decision: identity, outcome, growth and both metric sets as JSON."""
+def decision_records(decisions: DataFrame, **identity: str) -> DataFrame:
+    """The stored decision: outcome, growth and both metric sets as JSON, led by
+    identity values such as ``run_id``, ``app_name`` and ``application_id``."""
     return decisions.select(
+        *[F.lit(value).alias(name) for name, value in identity.items()],
         F.col("baseline.run_id").alias("baseline_run_id"),
         F.col("candidate.run_id").alias("candidate_run_id"),
         "workload_name",
@@ -214,6 +216,7 @@ def decision_records(decisions: DataFrame) -> DataFrame:
         "spill_delta_pct",
         metrics_json("baseline").alias("baseline_metrics"),
         metrics_json("candidate").alias("candidate_metrics"),
+        F.current_timestamp().cast("string").alias("created_at"),
     )
 
 

@@ -52,6 +52,69 @@ def backfill_rates(raw_metrics: DataFrame, plan: DataFrame, identity: list[str])
     )
 
 
+# Fixed value: one stored record per run and processing date.
+BACKFILL_COLUMNS = (
+    "run_id",
+    "date_run_id",
+    "app_name",
+    "application_id",
+    "lab_id",
+    "workload_name",
+    "filter_strategy",
+    "processing_date",
+    "source_start_date",
+    "source_end_date",
+    "source_rows_for_date",
+    "volume_multiplier",
+    "spike_label",
+    "collector_type",
+    "executor_run_time_ms",
+    "records_read",
+    "records_written",
+    "input_bytes",
+    "shuffle_bytes_written",
+    "shuffle_bytes_read",
+    "shuffle_total_bytes",
+    "memory_bytes_spilled",
+    "disk_bytes_spilled",
+    "jvm_gc_time_ms",
+    "num_stages",
+    "num_tasks",
+    *RATES,
+    "business_output_path",
+    "created_at",
+)
+
+
+def backfill_records(
+    rates: DataFrame, plan: DataFrame, output_path: str, **identity: str
+) -> DataFrame:
+    """The stored form of ``backfill_rates``: dates as text, the plan's date range, the
+    date's output folder and identity values; what is not given is null."""
+    span = plan.agg(
+        F.struct(
+            F.min("event_date").cast("string").alias("first"),
+            F.max("event_date").cast("string").alias("last"),
+        )
+    ).scalar()
+    day = F.col("processing_date").cast("string")
+    values = {
+        "processing_date": day,
+        "source_start_date": span["first"],
+        "source_end_date": span["last"],
+        "collector_type": F.lit("stage"),
+        "business_output_path": F.concat(F.lit(f"{output_path}/event_date="), day),
+        **{name: F.lit(value) for name, value in identity.items()},
+    }
+    nothing = F.lit(None).cast("string")
+    return rates.select(
+        *[
+            values.get(name, F.col(name) if name in rates.columns else nothing).alias(name)
+            for name in BACKFILL_COLUMNS
+        ]
+    )
+
+
 def unplanned_dates(raw_metrics: DataFrame, plan: DataFrame) -> DataFrame:
     planned = plan.select(F.col("event_date").alias("processing_date"))
     return raw_metrics.select("processing_date").distinct().join(planned, "processing_date", "left_anti")

@@ -21,6 +21,30 @@ OVERHEAD_RUN_SCHEMA = """
 """
 
 
+# Fixed value: raw counters kept with a benchmark run.
+RUN_COUNTERS = {
+    "num_stages": "numStages",
+    "num_tasks": "numTasks",
+    "executor_run_time_ms": "executorRunTime",
+    "shuffle_bytes_written": "shuffleBytesWritten",
+}
+
+
+def overhead_run_records(timings: DataFrame, counters: DataFrame) -> DataFrame:
+    """Benchmark runs with the counters of their collector, matched by ``run_id``. A run
+    without a collector has unknown counters, not zeros."""
+    collected = counters.select(
+        "run_id", *[F.col(raw).alias(name) for name, raw in RUN_COUNTERS.items()]
+    )
+    known = timings.drop(*RUN_COUNTERS).join(collected, "run_id", "left")
+    return known.withColumns(
+        {
+            name: F.when(F.col("mode") != WITHOUT_COLLECTOR, F.col(name).cast("long"))
+            for name in RUN_COUNTERS
+        }
+    )
+
+
 def overhead_summary(runs: DataFrame, benchmark: list[str]) -> DataFrame:
     """Average and median workload time per benchmark and mode against the mode without
     a collector. Warm-ups are left out, and counters of that mode are unknown: the

@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 from millrace.functions.labels import or_no_category, or_unknown
 
 
-def lookup(fact: DataFrame, dimension: DataFrame, keys: list[str], **attributes: Column) -> DataFrame:
+def lookup(
+    fact: DataFrame,
+    dimension: DataFrame,
+    keys: list[str],
+    strategy: str | None = None,
+    **attributes: Column,
+) -> DataFrame:
     """Left join that adds only the named attributes.
 
-    No broadcast hint: Catalyst broadcasts a dimension whose size is under the
-    session threshold and otherwise shuffles, where AQE splits hot keys.
+    Without a strategy Catalyst broadcasts a dimension whose size is under the session
+    threshold and otherwise shuffles, where AQE splits hot keys. A join hint such as
+    ``merge`` forces the shuffle for a study.
     """
     wanted = dimension.select(*keys, *[value.alias(name) for name, value in attributes.items()])
-    return fact.join(wanted, on=keys, how="left")
+    return fact.join(wanted.hint(strategy) if strategy else wanted, on=keys, how="left")
 
 
 def product_keys(products: DataFrame) -> list[str]:

@@ -243,14 +243,18 @@ def vendor_summary(tables: Tables, exchange: Exchange = as_planned, salts: int =
 
 
 def vendor_summary_copartitioned(tables: Tables, partitions: int | None = None) -> DataFrame:
-    """The skew study: both sides moved by vendor, joined raw, then aggregated.
-    One task receives every row of a hot vendor."""
+    """The skew study: both sides moved by vendor, joined raw by a shuffle join, then
+    aggregated. One task receives every row of a hot vendor."""
     target = (partitions, "vendor_id") if partitions else ("vendor_id",)
     vendors = tables["vendors"].select(
         F.col("vendor_id").cast("long").alias("vendor_id"), "region"
     )
-    joined = add_vendor_region(
-        _vendor_fact(tables["sales"]).repartition(*target), vendors.repartition(*target)
+    joined = lookup(
+        _vendor_fact(tables["sales"]).repartition(*target),
+        vendors.repartition(*target),
+        ["vendor_id"],
+        strategy="merge",
+        vendor_region=F.col("region"),
     )
     merged = (
         joined.withColumn("vendor_region", or_unknown(F.col("vendor_region")))

@@ -112,7 +112,7 @@ def generate_source(
     existing = spark.createDataFrame([(day,) for day in kept], "event_date date")
     todo = missing_dates(planned, existing)
     if has_rows(todo):
-        events = generate_events(todo, plan.seed, dimensions)
+        events = generate_events(todo, plan.seed, dimensions, partitions=plan.partitions)
         target = Artifact(source.path, source.format, "overwrite", source.options, ("event_date",))
         write_artifact(events, target, max_records_per_file, replace_partitions=True)
     written = read_artifact(spark, source, EVENT_SCHEMA)

@@ -157,7 +157,8 @@ def budget_growth(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def budget_decision(spark: SparkSession, folder: str) -> DataFrame:
-    return budget.decision_records(budget.budget_decisions(_pairs(spark, folder), BUDGET_RULES))
+    decisions = budget.budget_decisions(_pairs(spark, folder), BUDGET_RULES)
+    return budget.decision_records(decisions).drop("created_at")
 
 
 def overhead_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,6 +181,14 @@ def backfill_rates(spark: SparkSession, folder: str) -> DataFrame:
     return _rates(spark, folder).drop("created_at")
 
 
+def backfill_records(spark: SparkSession, folder: str) -> DataFrame:
+    plan = planned_volumes(volume_bounds(spark, folder), volume_spikes(spark, folder))
+    records = history.backfill_records(
+        _rates(spark, folder), plan, "activity", app_name="daily", workload_name="activity"
+    )
+    return records.drop("created_at")
+
+
 def unplanned_dates(spark: SparkSession, folder: str) -> DataFrame:
     """Dates with events that a plan of the spike days alone would not expect."""
     spikes = volume_spikes(spark, folder)
@@ -262,6 +271,7 @@ QUERIES = {
         budget_decision,
         overhead_summary,
         backfill_rates,
+        backfill_records,
         unplanned_dates,
         metrics_history,
         latest_batch,
@@ -665,6 +675,18 @@ SELECT run_id, stages AS "numStages", tasks AS "numTasks", run_ms AS "executorRu
     "budget_decision": _DECISION,
     "overhead_summary": _OVERHEAD,
     "backfill_rates": f"WITH {_DAILY} SELECT * EXCLUDE (created_at) FROM daily",
+    "backfill_records": f"""WITH {_DAILY},
+span AS (SELECT CAST(min(event_date) AS VARCHAR) AS d0, CAST(max(event_date) AS VARCHAR) AS d1 FROM planned)
+SELECT run_id, date_run_id, 'daily' AS app_name, CAST(NULL AS VARCHAR) AS application_id,
+       CAST(NULL AS VARCHAR) AS lab_id, 'activity' AS workload_name, filter_strategy,
+       CAST(processing_date AS VARCHAR) AS processing_date, d0 AS source_start_date,
+       d1 AS source_end_date, source_rows_for_date, volume_multiplier, spike_label,
+       'stage' AS collector_type, executor_run_time_ms, records_read, records_written, input_bytes,
+       shuffle_bytes_written, shuffle_bytes_read, shuffle_total_bytes, memory_bytes_spilled,
+       disk_bytes_spilled, jvm_gc_time_ms, num_stages, num_tasks, runtime_per_million_rows,
+       shuffle_per_million_rows, input_bytes_per_million_rows, tasks_per_million_rows,
+       'activity/event_date=' || CAST(processing_date AS VARCHAR) AS business_output_path
+FROM daily, span""",
     "unplanned_dates": f"""WITH {event_queries.PLAN}
 SELECT DISTINCT event_date AS processing_date FROM typed
 WHERE event_date NOT IN (SELECT event_date FROM planned WHERE volume_multiplier > 1)""",

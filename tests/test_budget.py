@@ -132,7 +132,8 @@ def test_latest_run_of_each_variant_is_compared(spark):
 
 def test_decision_record_keeps_both_metric_sets(spark):
     decisions = budget.budget_decisions(pairs(spark, {}, dict(num_tasks=200)), BudgetRules())
-    row = budget.decision_records(decisions).first()
+    row = budget.decision_records(decisions, run_id="d1", app_name="guard").first()
+    assert (row.run_id, row.app_name) == ("d1", "guard") and row.created_at
     assert json.loads(row.baseline_metrics) == DEFAULTS
     assert json.loads(row.candidate_metrics)["num_tasks"] == 200
 

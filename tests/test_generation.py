@@ -134,6 +134,11 @@ def test_partition_calibration(spark):
     assert [r.p for r in got.collect()] == [1, 1, 4, 16]
 
 
+def test_partitions_of_a_whole_plan():
+    assert VolumePlan().partitions == 12 + 2 * 4
+    assert VolumePlan(base_rows_per_day=10**8, spikes={}).partitions == 14 * 16
+
+
 def test_spike_outside_the_plan_is_rejected():
     with pytest.raises(ValueError, match="outside"):
         VolumePlan(spikes={date(2026, 2, 1): 10})

@@ -180,6 +180,20 @@ def test_overhead_summary(spark):
     assert rows["task"].avg_delta_ms == -170.0
 
 
+def test_run_without_collector_has_unknown_counters(spark):
+    timings = spark.createDataFrame(
+        [("a", "none", 100, 0), ("b", "stage", 120, 0)],
+        "run_id string, mode string, workload_wall_ms long, num_tasks long",
+    )
+    counters = spark.createDataFrame(
+        [("b", 20, 2581, 900, 64)],
+        "run_id string, numStages int, numTasks int, executorRunTime int, shuffleBytesWritten int",
+    )
+    rows = {r.run_id: r for r in overhead.overhead_run_records(timings, counters).collect()}
+    assert rows["a"].num_tasks is None and rows["a"].shuffle_bytes_written is None
+    assert (rows["b"].num_stages, rows["b"].num_tasks) == (20, 2581)
+
+
 def test_overhead_schema_is_complete(spark):
     df = spark.createDataFrame([], overhead.OVERHEAD_RUN_SCHEMA)
     assert len(df.columns) == 26 and overhead.overhead_summary(df, ["benchmark_id"]).isEmpty()
