@@ -39,6 +39,11 @@ def has_rows(df: DataFrame) -> bool:
     return not df.limit(1).isEmpty()
 
 
+def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
+    """Any n rows, for a look at a table."""
+    return df.limit(n)
+
+
 def inventory_gate(profile: DataFrame, violations: DataFrame) -> DataFrame:
     """One row: no table is empty and no relationship is broken."""
     facts = profile.select(

@@ -21,6 +21,7 @@ from millrace.generate.volume import (
 from millrace.operators.aggregates import average_ticket
 from millrace.operators.profile import has_rows
 from millrace.sources.artifacts import Artifact, read_artifact, read_or_empty, write_artifact
+from millrace.sources.eventlog import job_step, stage_aggregate
 
 EVENT_SCHEMA = """
     event_id string, event_date date, event_ts timestamp, account_id long, customer_id long,
@@ -29,6 +30,7 @@ EVENT_SCHEMA = """
 """
 FULL = "full"
 APPEND_DAY = "append_day"
+BACKFILL_STEP = "backfill "
 
 
 def daily_activity(events: DataFrame, processing_date: Column | date | None = None) -> DataFrame:
@@ -69,6 +71,27 @@ def backfill(events: DataFrame, dates: DataFrame, output: Artifact) -> None:
     write_artifact(stamped.repartition("event_date"), by_date, replace_partitions=True)
 
 
+def backfill_day(spark: SparkSession, events: DataFrame, day: date, output: Artifact) -> None:
+    """One date as a step of its own, so that its cost can be read from the event log."""
+    dates = spark.createDataFrame([(day,)], "event_date date")
+    with job_step(spark, f"{BACKFILL_STEP}{day.isoformat()}"):
+        backfill(events.where(F.col("event_date") == F.lit(day)), dates, output)
+
+
+def logged_backfills(logged: DataFrame) -> DataFrame:
+    """Raw counters of every backfilled date found in event logs, one row per log and
+    date, ready for ``history.backfill_rates``."""
+    steps = stage_aggregate(logged).where(F.col("step").startswith(BACKFILL_STEP))
+    return steps.withColumns(
+        {
+            "run_id": F.col("log"),
+            "date_run_id": F.concat_ws("/", "log", "step"),
+            "filter_strategy": F.lit("early_partition_filter"),
+            "processing_date": F.to_date(F.substring("step", len(BACKFILL_STEP) + 1, 10)),
+        }
+    ).drop("log", "step")
+
+
 def generate_source(
     spark: SparkSession,
     plan: VolumePlan,

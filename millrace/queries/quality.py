@@ -76,7 +76,7 @@ def _contract_rows(spark: SparkSession, folder: str) -> DataFrame:
     metrics = contract_ready(run_counters(spark, folder), RUN_IDENTITY)
     return metrics.withColumns(
         {
-            "lab_id": F.lit("lab_6"),
+            "lab_id": F.lit("area-1"),
             "collector_name": F.lit("sparkmeasure_stage_metrics"),
             "metric_scope": F.lit("stage"),
             "contract_version": F.lit("1.0.0"),
@@ -192,7 +192,7 @@ _READY = """SELECT run_id, app_name, workload_name, workload_variant, created_at
        gc_ms IS NOT NULL AS jvm_gc_time_ms_available,
        mem IS NOT NULL AS memory_bytes_spilled_available,
        disk IS NOT NULL AS disk_bytes_spilled_available, input IS NOT NULL AS input_bytes_available,
-       'lab_6' AS lab_id, 'sparkmeasure_stage_metrics' AS collector_name, 'stage' AS metric_scope,
+       'area-1' AS lab_id, 'sparkmeasure_stage_metrics' AS collector_name, 'stage' AS metric_scope,
        '1.0.0' AS contract_version
 FROM runs"""
 

@@ -12,7 +12,7 @@ CLEAN = {
     "run_id": "run-1",
     "app_name": "app",
     "application_id": "application-1",
-    "lab_id": "lab_6",
+    "lab_id": "area-1",
     "workload_name": "retail_contract",
     "workload_variant": "stage",
     "collector_name": "sparkmeasure_stage_metrics",

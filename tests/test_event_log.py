@@ -3,12 +3,15 @@
 import os
 import subprocess
 import sys
+from datetime import date
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.operators import history
 from millrace.operators.stagemetrics import with_usefulness
+from millrace.plans import temporal
 from millrace.plans.observability import fingerprint_runs
 from millrace.sources import eventlog
 
@@ -30,6 +33,18 @@ with job_step(spark, "summary", "sum per bucket"):
     df.write.format("noop").mode("overwrite").save()
 with job_step(spark, "count"):
     spark.range(0, 100, 1, 4).write.format("noop").mode("overwrite").save()
+from datetime import date
+from millrace.generate import events, volume
+from millrace.plans import temporal
+from millrace.sources.artifacts import Artifact
+plan = volume.VolumePlan(
+    date(2026, 1, 1), date(2026, 1, 2), 500, {date(2026, 1, 2): 10}, target_rows_per_partition=1000
+)
+source = sys.argv[1].replace("/logs", "/data") + "/events" + sys.argv[3]
+events.generate_events(volume.plan_volumes(spark, plan)).write.partitionBy("event_date").parquet(source)
+stored = spark.read.parquet(source)
+for day in (plan.start, plan.end):
+    temporal.backfill_day(spark, stored, day, Artifact(source + "-activity"))
 spark.range(10).write.format("noop").mode("overwrite").save()
 spark.stop()
 """
@@ -37,8 +52,10 @@ spark.stop()
 
 @pytest.fixture(scope="module")
 def log_folder(tmp_path_factory):
-    folder = tmp_path_factory.mktemp("logs")
-    script = folder.parent / "logged_app.py"
+    base = tmp_path_factory.mktemp("app")
+    folder = base / "logs"
+    folder.mkdir()
+    script = base / "logged_app.py"
     script.write_text(APP)
     root = str(Path(__file__).resolve().parent.parent)
     for rolling in ("false", "true"):
@@ -60,7 +77,7 @@ def test_tasks_stages_and_steps(spark, log_folder):
     assert tasks.where("not successful").isEmpty()
     for log in logs:
         runs = {r.step: r for r in eventlog.stage_aggregate(logged.where(F.col("log") == log)).collect()}
-        assert set(runs) == {"summary", "count", None}
+        assert set(runs) == {"summary", "count", "backfill 2026-01-01", "backfill 2026-01-02", None}
         assert (runs["summary"].numStages, runs["summary"].numTasks) == (2, 5)
         assert (runs["count"].numStages, runs["count"].numTasks) == (1, 4)
         assert runs["summary"].shuffleBytesWritten > 0
@@ -77,4 +94,21 @@ def test_logged_runs_can_be_classified(spark, log_folder):
     )
     assert with_usefulness(runs).where("not valid").isEmpty()
     found = fingerprint_runs(runs, ["run_id"])["fingerprints"].collect()
-    assert len(found) == 6 and all(r.workload_profile == "BALANCED_OR_LOW_SIGNAL" for r in found)
+    assert len(found) == 10 and all(r.workload_profile == "BALANCED_OR_LOW_SIGNAL" for r in found)
+
+
+def test_logged_backfills_show_the_spike(spark, log_folder):
+    plan = spark.createDataFrame(
+        [(date(2026, 1, 1), 500, 1, "NORMAL"), (date(2026, 1, 2), 5000, 10, "MEDIUM_SPIKE")],
+        "event_date date, expected_rows long, volume_multiplier long, spike_label string",
+    )
+    raw = temporal.logged_backfills(eventlog.read_event_logs(spark, log_folder))
+    identity = ["run_id", "date_run_id", "filter_strategy", "processing_date"]
+    rates = history.backfill_rates(raw, plan, identity).collect()
+    assert len(rates) == 4 and len({r.run_id for r in rates}) == 2
+    for run in {r.run_id for r in rates}:
+        by_label = {r.spike_label: r for r in rates if r.run_id == run}
+        # Only the wanted date's files were read.
+        assert by_label["NORMAL"].records_read == 500
+        assert by_label["MEDIUM_SPIKE"].records_read == 5000
+        assert by_label["NORMAL"].tasks_per_million_rows > by_label["MEDIUM_SPIKE"].tasks_per_million_rows
