@@ -67,6 +67,25 @@ def test_orphans_count_null_keys(spark):
     assert star.orphan_rows(fact.limit(0), dim, ["vendor_id"]).first().violations == 0
 
 
+def test_fk_violations_in_one_pass(spark):
+    sales = spark.createDataFrame(
+        [(1, 10, 5), (1, 11, 5), (2, 10, None), (None, 10, 9), (7, 70, 5)],
+        "vendor_id long, product_id long, customer_id long",
+    )
+    tables = {
+        "sales": sales,
+        "vendors": spark.createDataFrame([(1,), (2,), (2,)], "vendor_id long"),
+        "products": spark.createDataFrame([(10, 1), (11, 1), (10, 3)], "product_id long, vendor_id long"),
+        "customers": spark.createDataFrame([(5,)], "customer_id int"),
+    }
+    found = {r.relationship: r.violations for r in star.fk_violations(tables).collect()}
+    assert found == {"vendor": 2, "product": 3, "customer": 2}
+    for name, keys in {"vendor": ["vendor_id"], "product": ["product_id", "vendor_id"]}.items():
+        assert star.orphan_rows(sales, tables[f"{name}s"], keys).first().violations == found[name]
+    empty = star.fk_violations({**tables, "sales": sales.limit(0)}).collect()
+    assert [r.violations for r in empty] == [0, 0, 0]
+
+
 def retail_tables(spark, rows=4000):
     """Half the sales belong to vendor 1; some keys have no dimension row."""
     number = F.col("id")
