@@ -1,9 +1,9 @@
 """Compares partition layouts on generated sales with a hot vendor.
 
-    python bench_layouts.py FOLDER [SCALE]
+    python bench_layouts.py FOLDER [SCALE] [FACTOR] [JOB,JOB..]
 
-Generates the tables of a scale (default xs: 5,000,000 sales, vendor 1 holds 70 %)
-under FOLDER unless they are there, runs each job with its own event log, and
+Generates the tables of a scale (default xs: 5,000,000 sales, vendor 1 holds 70 %),
+with FACTOR times the sales, under FOLDER unless they are there, runs each job with its own event log, and
 prints one JSON line per job from those logs: tasks, summed executor time, shuffle
 bytes, spill and the slowest task.
 """
@@ -15,6 +15,7 @@ import subprocess
 import sys
 import tempfile
 import time
+from dataclasses import replace
 from pathlib import Path
 
 ROOT = Path(__file__).resolve().parent
@@ -91,11 +92,13 @@ def targets(folder: str) -> dict[str, Artifact]:
     return {name: Artifact(f"{folder}/{name}", mode="overwrite") for name in TABLES}
 
 
-def measure(folder: str, log_folder: str, wall_file: str) -> None:
+def measure(folder: str, log_folder: str, wall_file: str, wanted: str) -> None:
     spark = session(log_folder)
     tables = {name: read_artifact(spark, target) for name, target in targets(folder).items()}
     wall = {}
-    for name, build in jobs().items():
+    available = jobs()
+    for name in wanted.split(",") if wanted else available:
+        build = available[name]
         started = time.perf_counter()
         with eventlog.job_step(spark, name):
             build(tables).write.format("noop").mode("overwrite").save()
@@ -132,18 +135,22 @@ def report(log_folder: str, wall_file: str) -> None:
     spark.stop()
 
 
-def main(folder: str, scale: str = "xs") -> None:
+def main(folder: str, scale: str = "xs", factor: str = "1", wanted: str = "") -> None:
     if not (Path(folder) / "sales").exists():
         spark = session()
         manifest = Artifact(f"{folder}/manifest", "json", "append")
-        checks = inventory.materialize(spark, SCALES[scale], targets(folder), manifest, scale)
+        base = SCALES[scale]
+        size = replace(
+            base, sales=base.sales * int(factor), partitions=base.partitions * int(factor)
+        )
+        checks = inventory.materialize(spark, size, targets(folder), manifest, scale)
         print(json.dumps({"checks": [row.asDict() for row in checks.collect()]}))
         spark.stop()
     work = tempfile.mkdtemp(prefix="run-")
     logs, wall_file = f"{work}/logs", f"{work}/wall.json"
     Path(logs).mkdir()
     # The measured session must end before its log is complete, so it has its own process.
-    subprocess.run([sys.executable, __file__, "--measure", folder, logs, wall_file], check=True)
+    subprocess.run([sys.executable, __file__, "--measure", folder, logs, wall_file, wanted], check=True)
     report(logs, wall_file)
 
 

@@ -51,9 +51,9 @@ def bag(rows, names) -> Counter:
     return Counter(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, folder: str, name: str) -> str:
+def compare(spark, folder: str, name: str, df=None) -> str:
     """Empty when both sides agree in column names, types and rows."""
-    df = queries()[name](spark, folder)
+    df = df or queries()[name](spark, folder)
     spark_rows = df.collect()
     statement = oracle_sql().get(name)
     if statement is None:
