@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import history
-from millrace.operators.stagemetrics import with_usefulness
+from millrace.operators.stagemetrics import NEXT_STEPS, with_usefulness
 from millrace.plans import temporal
 from millrace.plans.observability import fingerprint_runs
 from millrace.sources import eventlog
@@ -94,7 +94,11 @@ def test_logged_runs_can_be_classified(spark, log_folder):
     )
     assert with_usefulness(runs).where("not valid").isEmpty()
     found = fingerprint_runs(runs, ["run_id"])["fingerprints"].collect()
-    assert len(found) == 10 and all(r.workload_profile == "BALANCED_OR_LOW_SIGNAL" for r in found)
+    assert len(found) == 10
+    for row in found:
+        # The profile depends on how fast the machine was; the counters do not.
+        assert row.recommended_next_step == NEXT_STEPS[row.workload_profile]
+        assert row.num_tasks >= row.num_stages >= 1 and row.shuffle_bytes_written < 2**20
 
 
 def test_logged_backfills_show_the_spike(spark, log_folder):
