@@ -3,12 +3,13 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from millrace.queries import all_queries
 from tests.oracle import compare
 
 NO_PAIRS = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, folder, plan_of, name):
     """Same rows as the SQL statement; only key joins; no Python in the plan."""
     df = queries()[name](spark, folder)
