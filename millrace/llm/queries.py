@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontam, jaccard, langid, mixing, shards, sql
+from millrace.llm import decontam, jaccard, langid, mixing, shards, sql, token_files, warc
+from millrace.llm.store import shared_folder
 
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2"
 
@@ -16,6 +18,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.with_revisits(table(spark, folder, "pages"))
+    archives = warc.write_archives(records, shared_folder(spark, "warc-whole"))
+    index = warc.normalise(archives, shared_folder(spark, "warc-members"))
+    return warc.read_records(index)
+
+
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     docs = docs.withColumn("held_out", F.coalesce(F.expr(HELD_OUT), F.lit(False)))
@@ -58,8 +67,19 @@ def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents"))
 
 
+def token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text("utf-8")
+    docs = table(spark, folder, "documents")
+    files = token_files.write_token_files(docs, tokenizer, shared_folder(spark, "token-ids"))
+    return token_files.read_token_files(files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_normaliser": warc_normaliser,
     "op5_language_id": language_id,
+    "op6_token_files": token_ids,
     "op7_external_shuffle": sharding,
     "op8_systematic_mixing": mixing_sources,
     "op9_decontamination": decontamination,
@@ -67,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_warc_normaliser": sql.WARC,
     "op8_systematic_mixing": sql.MIXING,
     "op9_decontamination": sql.DECONTAMINATION,
     "op10_jaccard_join": sql.JACCARD,

@@ -100,3 +100,17 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, coalesce(k.n_li
 FROM d LEFT JOIN n USING (doc_id)
 JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c USING (doc_id)
 LEFT JOIN (SELECT x AS doc_id, count(*) AS n_links FROM link GROUP BY x) k USING (doc_id)"""
+
+WARC = """
+WITH p AS (
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+f AS (
+    SELECT *, CASE WHEN payload_bytes >= 100
+                   THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+    FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first != page_id THEN first END AS refers_to
+FROM f"""
