@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontam, jaccard, langid, mixing, shards, sql, token_files, warc
+from millrace.llm import decontam, divergence, jaccard, langid, mixing, shards, sql, token_files, warc
 from millrace.llm.store import shared_folder
 
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2"
@@ -25,6 +25,10 @@ def warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_records(index)
 
 
+def distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.judge(table(spark, folder, "documents"))
+
+
 def language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     docs = docs.withColumn("held_out", F.coalesce(F.expr(HELD_OUT), F.lit(False)))
@@ -78,6 +82,7 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_normaliser": warc_normaliser,
+    "op4_divergence": distribution_divergence,
     "op5_language_id": language_id,
     "op6_token_files": token_ids,
     "op7_external_shuffle": sharding,
