@@ -56,31 +56,25 @@ def repeated_words(words: Column, n: Column) -> Column:
     )
 
     def counted(hashes: Column) -> Column:
-        places = F.pow(F.lit(2), F.length(F.bin(F.size(hashes)))).cast("long")
-        low = places - 1
-        marked = F.sort_array(
-            F.transform(hashes, lambda h, i: h.bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long")))
-        )
+        def covered(order: Column, low: Column) -> Column:
+            # The hash of each place in the order, and of its neighbours.
+            sorted_hashes = F.transform(order, lambda k: F.get(hashes, k.bitwiseAND(low).cast("int")))
 
-        def covered(order: Column) -> Column:
-            def whole(j):
-                return F.get(hashes, F.get(order, j).bitwiseAND(low).cast("int"))
-
-            repeated = F.filter(
-                F.transform(
-                    order,
-                    lambda k, j: let(
-                        F.get(hashes, k.bitwiseAND(low).cast("int")),
-                        lambda own: F.when(
-                            (own == whole(j - 1)) | (own == whole(j + 1)),
+            def repeated(own: Column) -> Column:
+                return F.filter(
+                    F.transform(
+                        order,
+                        lambda k, j: F.when(
+                            (F.get(own, j) == F.get(own, j - 1))
+                            | (F.get(own, j) == F.get(own, j + 1)),
                             k.bitwiseAND(low),
                         ),
                     ),
-                ),
-                lambda place: place.isNotNull(),
-            )
+                    lambda place: place.isNotNull(),
+                )
+
             return let(
-                F.sort_array(repeated),
+                F.sort_array(let(sorted_hashes, repeated)),
                 lambda at: F.aggregate(
                     F.transform(
                         at, lambda p, j: F.least(F.lit(3), F.coalesce(F.get(at, j + 1) - p, F.lit(3)))
@@ -90,29 +84,41 @@ def repeated_words(words: Column, n: Column) -> Column:
                 ),
             )
 
+        def marked(low: Column) -> Column:
+            high = F.bitwise_not(low)
+            return F.transform(hashes, lambda h, i: h.bitwiseAND(high).bitwiseOR(i.cast("long")))
+
         some = F.size(F.array_distinct(hashes)) < F.size(hashes)
-        return F.when(some, let(marked, covered)).otherwise(F.lit(0).cast("long"))
+        low = F.pow(F.lit(2), F.length(F.bin(F.size(hashes)))).cast("long") - 1
+        found = let(low, lambda bits: let(F.sort_array(marked(bits)), lambda o: covered(o, bits)))
+        return F.when(some, found).otherwise(F.lit(0).cast("long"))
 
     return F.coalesce(let(windows, counted), F.lit(0).cast("long"))
 
 
-def base_rules(docs: DataFrame) -> DataFrame:
-    """docs (with text) and n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed; also the words and the counts of character classes, for the distributions."""
+def split_up(docs: DataFrame) -> DataFrame:
+    """docs (with text), and its words, lines with a word, and counts of characters."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(
         F.split(text, "\n", -1), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]"))
     )
     chars = [F.length(text) - F.length(F.regexp_replace(text, c, "")) for c in CLASSES]
-    rows = docs.withColumns(
-        {
-            "words": F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)),
-            "chars": F.array(*chars).cast("array<long>"),
-            "n_chars_all": F.length(text).cast("long"),
-            "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long"),
-            "lines": lines,
-        }
+    parts = F.struct(
+        F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)).alias("words"),
+        F.array(*chars).cast("array<long>").alias("chars"),
+        F.length(text).cast("long").alias("n_chars_all"),
+        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        lines.alias("lines"),
+    )
+    # One row in, one row out. Filters above don't pass a generator, so the optimizer never
+    # copies the splitting of a text into an expression that is run for each word.
+    return docs.select("*", F.explode_outer(F.array(parts)).alias("parts")).select(
+        *docs.columns, "parts.*"
     )
+
+
+def base_rules(rows: DataFrame) -> DataFrame:
+    """Adds n_words, word_chars, n_dup_lines, n_repeat_words, base_failed to split rows."""
     rows = rows.withColumns(
         {
             "n_words": F.size("words").cast("long"),
@@ -142,22 +148,17 @@ def jensen_shannon(counts: Column, shares: Column) -> Column:
 
 
 def references(docs: DataFrame, rules: Rules) -> DataFrame:
-    """(lang, words, word_shares, char_shares): a row a language, and one of null for all.
+    """(key, common, word_shares, char_shares): a row a language, and one named "" for all.
 
-    Every document that passes the base rules counts, whole. Words are counted where they may
-    be common, short ones, and counts are added up before they are sent.
+    Every document counts, whole. Words are counted where they may be common, short ones, and
+    counts are added up before they are sent.
     """
-    good = docs.where("NOT base_failed")
-    counted = good.select(
-        "lang",
-        F.explode(
-            F.filter("words", lambda w: F.length(w) <= rules.longest_common)
-        ).alias("word"),
-    )
+    short = F.filter("words", lambda w: F.length(w) <= rules.longest_common)
+    counted = docs.select("lang", F.explode_outer(short).alias("word")).where("word IS NOT NULL")
     words = cut(counted.groupBy("lang", "word").agg(F.count("*").alias("n")), "common-words")
     totals = cut(
-        good.groupBy("lang").agg(
-            F.sum("n_words").alias("all_words"),
+        docs.groupBy("lang").agg(
+            F.sum(F.size("words")).alias("all_words"),
             *[F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES))],
             F.sum("n_chars_all").alias("all_chars"),
         ),
@@ -201,16 +202,16 @@ def judge(
     A document that fails the base rules isn't kept. Another is kept unless its characters or
     its words are too far from its language's, given enough of them. A null lang, or one with
     too few words, is held against all languages together. Null and empty texts have no words
-    and fail. With no good document there is no reference, and distances are null, which
-    passes. Repeated rows are judged alike. Kept columns with names of results are replaced.
+    and fail. Without any words there is no reference, and distances are null, which passes. Repeated rows are judged alike. Kept columns with names of results are replaced.
     """
     own = (
         "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept "
         "char_distance word_distance"
     ).split()
     keep = [c for c in keep if c not in own]
-    rows = base_rules(docs.select(F.struct(*keep).alias("row"), "text", "lang"))
-    found = cut(references(rows, rules), "references")
+    split = split_up(docs.select(F.struct(*keep).alias("row"), "text", "lang"))
+    found = cut(references(split, rules), "references")
+    rows = base_rules(split)
     small = found.count() <= BROADCAST_LANGS
     named = found.select(F.col("key").alias("named")).where("named != ''")
     langs = F.concat(F.lit("l"), "lang")
