@@ -8,7 +8,19 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontam, divergence, jaccard, langid, mixing, shards, sql, token_files, warc
+from millrace.llm import (
+    decontam,
+    divergence,
+    jaccard,
+    langid,
+    line_dedup,
+    mixing,
+    quotes,
+    shards,
+    sql,
+    token_files,
+    warc,
+)
 from millrace.llm.store import shared_folder
 
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2"
@@ -25,6 +37,47 @@ def warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_records(index)
 
 
+def line_dedup_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    kept = F.sha2(F.coalesce("kept_text", F.lit("")), 256)
+    return found.select(
+        "doc_id", "n_lines", "n_deleted", "longest_run", kept.alias("kept_sha256")
+    )
+
+
+def mail_threads(conversations: DataFrame) -> DataFrame:
+    """Conversations as mail: each turn quotes the one before it, which quotes one more."""
+    turns = conversations.groupBy("conv_id", "turn").agg(F.min("text").alias("earlier"))
+    one = turns.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("earlier").alias("one"))
+    two = turns.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("earlier").alias("two"))
+    rows = conversations.join(one, ["conv_id", "turn"], "left").join(
+        two, ["conv_id", "turn"], "left"
+    )
+    marked = lambda c, mark: F.regexp_replace(c, "(?m)^", mark)
+    return rows.select(
+        F.col("conv_id").alias("thread"),
+        F.col("turn").alias("position"),
+        F.concat_ws("\n", marked("two", "> > "), marked("one", "> "), "text").alias("text"),
+    )
+
+
+def quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    linked = quotes.link_quotes(mail_threads(table(spark, folder, "conversations")))
+    own = F.sha2(F.coalesce("own_text", F.lit("")), 256).alias("own_sha256")
+    return linked.select(
+        F.col("thread").alias("conv_id"),
+        F.col("position").alias("turn"),
+        "reply_to",
+        "root",
+        "reply_depth",
+        "levels",
+        "n_quoted",
+        "n_linked",
+        "outside_thread",
+        own,
+    )
+
+
 def distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.judge(table(spark, folder, "documents"))
 
@@ -82,6 +135,8 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_normaliser": warc_normaliser,
+    "op2_line_dedup": line_dedup_runs,
+    "op3_quotation_linking": quotation_linking,
     "op4_divergence": distribution_divergence,
     "op5_language_id": language_id,
     "op6_token_files": token_ids,
@@ -93,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_warc_normaliser": sql.WARC,
+    "op2_line_dedup": sql.LINE_DEDUP,
     "op8_systematic_mixing": sql.MIXING,
     "op9_decontamination": sql.DECONTAMINATION,
     "op10_jaccard_join": sql.JACCARD,

@@ -114,3 +114,39 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN first != page_id THEN first END AS refers_to
 FROM f"""
+
+_SOLID = r"regexp_matches(line, '[^\x20\x09-\x0D]')"
+
+LINE_DEDUP = rf"""
+WITH l AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS no
+    FROM documents),
+s AS (
+    SELECT *, lead(line) OVER w AS next, row_number() OVER w AS i,
+           len(regexp_extract_all(line, '{WORDS}')) >= 50 AS long
+    FROM l WHERE {_SOLID} WINDOW w AS (PARTITION BY doc_id ORDER BY no)),
+c AS (
+    SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, no) > 1 AS later,
+           next IS NOT NULL
+             AND row_number() OVER (PARTITION BY line, next ORDER BY doc_id, no) > 1 AS later_run
+    FROM s),
+g AS (
+    SELECT doc_id, no, later AND long OR later_run
+             OR coalesce(lag(later_run) OVER (PARTITION BY doc_id ORDER BY no), false) AS gone
+    FROM c),
+runs AS (
+    SELECT doc_id, count(*) AS n
+    FROM (SELECT doc_id, no - row_number() OVER (PARTITION BY doc_id ORDER BY no) AS island
+          FROM g WHERE gone)
+    GROUP BY doc_id, island),
+kept AS (
+    SELECT l.doc_id, string_agg(line, chr(10) ORDER BY no) AS text
+    FROM l LEFT JOIN g USING (doc_id, no) WHERE NOT coalesce(gone, false) GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(n.n_lines, 0) AS n_lines, coalesce(n.n_deleted, 0) AS n_deleted,
+       coalesce(r.longest_run, 0) AS longest_run, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents d
+LEFT JOIN (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted
+           FROM g GROUP BY doc_id) n USING (doc_id)
+LEFT JOIN (SELECT doc_id, max(n) AS longest_run FROM runs GROUP BY doc_id) r USING (doc_id)
+LEFT JOIN kept USING (doc_id)"""
