@@ -10,6 +10,8 @@ from millrace.llm.store import cut
 
 BUCKET_BYTES = 8 << 20
 BUCKET_ROWS = 1024
+#: Offsets of this many buckets, 16 bytes each, are sent to all tasks; more are joined by key.
+OFFSETS_SENT = 200_000
 #: Buckets whose offsets are summed up in one task.
 BUCKETS_TOGETHER = 4096
 
@@ -81,6 +83,8 @@ def shuffle(
         .join(ranges, "range")
         .select("bucket", (F.col("base") + F.col("inner")).alias("first"))
     )
+    if buckets <= OFFSETS_SENT:
+        offsets = F.broadcast(offsets)
     mixed = (
         written.join(offsets, "bucket")
         .withColumn("order", fisher_yates(F.col("n"), F.xxhash64(F.lit(seed), "bucket")))
