@@ -138,7 +138,7 @@ def train(
     per_lang: int = 400,
     rows: int = 2400,
     width: int = 16,
-    epochs: int = 8,
+    updates: int = 16_000,
     rate: float = 0.5,
     lost_share: float = 0.001,
     highest_least: float = 0.5,
@@ -148,7 +148,7 @@ def train(
 
     Every subword bucket has an embedding; a text is the mean of its subwords' embeddings, and
     a linear softmax tells its language. Both are trained by stochastic gradient descent, one
-    text at a time, on four fifths of the sample. The last fifth sets the temperature that
+    text at a time and as many times as make `updates`, on four fifths of the sample. The last fifth sets the temperature that
     makes scores honest, and the least score: the `lost_share` quantile of the scores of right
     predictions, `highest_least` at most. The sample has at most `rows` rows; of each the
     driver holds bucket counts, not the text. Without labelled rows the model knows no language.
@@ -176,6 +176,7 @@ def train(
 
     table = rng.uniform(-1 / width, 1 / width, (BUCKETS, width))
     output, bias = np.zeros((width, len(langs))), np.zeros(len(langs))
+    epochs = -(-updates // len(learned))
     steps, done = epochs * len(learned), 0
     for _ in range(epochs):
         for i in rng.permutation(len(learned)):

@@ -106,7 +106,7 @@ def suffix_array(lines: DataFrame, run_lines: int) -> DataFrame:
             active = active.withColumn(
                 name, F.when(F.col("second") == ALONE, F.col(column).cast("long")).otherwise(0)
             )
-        active = cut(active.drop("found"), "pairs")
+        active = active.drop("found")
         pair = ["rank", "second", "a1", "a2", "a3"]
         places = starts(active.groupBy(*pair).agg(F.count("*").alias("n")), pair)
         bases = places.groupBy("rank").agg(F.min("first").alias("base"))
