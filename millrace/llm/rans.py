@@ -116,7 +116,8 @@ def _decode(blocks, counts, table: Table, slots: np.ndarray) -> list[np.ndarray]
         state = shares[code] * (state >> bits) + slot - starts[code]
         short = state < _LOW
         place = read + np.cumsum(short, axis=1) - 1
-        more = words[row, np.where(short, place, 0)]
+        # A spoiled stream may want more words than it has; the check below tells.
+        more = words[row, np.minimum(np.where(short, place, 0), words.shape[1] - 1)]
         state = np.where(short, (state << _WORD) | more, state)
         read += short.sum(axis=1, keepdims=True)
     if (state != _LOW).any() or any(r != len(s) for r, s in zip(read[:, 0], streams, strict=True)):
