@@ -31,12 +31,18 @@ def or_no_category(category: Column) -> Column:
 
 
 def category_label(category: Column) -> Column:
-    """``category_07``; the number is cut to two characters, as lpad does."""
-    return F.concat(F.lit("category_"), F.lpad(or_no_category(category).cast("string"), 2, "0"))
+    """``category_07``; numbers of more digits keep them all."""
+    return F.concat(F.lit("category_"), padded(or_no_category(category), 2))
 
 
 def numbered(prefix: str, number: Column, digits: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0"))
+    return F.concat(F.lit(prefix), padded(number, digits))
+
+
+def padded(number: Column, digits: int) -> Column:
+    """Zeros in front up to so many characters; lpad alone would cut longer numbers."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(digits)), F.lit("0"))
 
 
 def payload_columns(df: DataFrame) -> list[str]:

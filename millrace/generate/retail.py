@@ -124,13 +124,18 @@ def generate_sales(
             "_unit_cents": drawn(6, 50_000) + 100,
         }
     )
-    digest_width = max(1, min(scale.payload_width, DIGEST_WIDTH))
+    if scale.payload_columns and scale.payload_width < 1:
+        raise ValueError("payload_width must be at least 1")
+
+    def digest(column: int, part: int) -> Column:
+        name = [number.cast("string"), F.lit(str(column)), F.lit(str(shape.seed))]
+        return F.sha2(F.concat_ws(":", *name, *([F.lit(str(part))] if part else [])), 256)
+
+    parts = range(-(-scale.payload_width // DIGEST_WIDTH))
     payloads = [
-        F.substring(
-            F.sha2(F.concat_ws(":", number.cast("string"), F.lit(str(i)), F.lit(str(shape.seed))), 256),
-            1,
-            digest_width,
-        ).alias(f"payload_{i + 1}")
+        F.substring(F.concat(*[digest(i, part) for part in parts]), 1, scale.payload_width).alias(
+            f"payload_{i + 1}"
+        )
         for i in range(scale.payload_columns)
     ]
     return priced.select(

@@ -102,12 +102,18 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 
 
 def top_key(df: DataFrame, key: str) -> DataFrame:
-    """One row: the most frequent key (smallest on a tie), its rows and its share.
-    Zeros for an empty input."""
+    """One row: the most frequent key (smallest on a tie, null last), its rows and its share.
+    A null key stays null. For an empty input the key is null, rows and share are zero."""
     counted = key_counts(df, key)
-    best = F.max(F.struct(F.col("row_count"), (-F.col(key)).alias("tie")))
+    order = F.struct(
+        (-F.col("row_count")).alias("few"),
+        F.col(key).isNull().alias("unknown"),
+        F.col(key).alias("key"),
+        "row_count",
+    )
+    best = F.min(order)
     return counted.agg(best.alias("best"), F.sum("row_count").alias("total")).select(
-        F.coalesce(-F.col("best.tie"), F.lit(0).cast("long")).alias(f"top_{key}"),
+        F.col("best.key").alias(f"top_{key}"),
         F.coalesce(F.col("best.row_count"), F.lit(0).cast("long")).alias("top_rows"),
         F.coalesce(
             F.col("best.row_count").cast("double") / F.col("total").cast("double"), F.lit(0.0)

@@ -64,8 +64,10 @@ def daily_activity(events: DataFrame, processing_date: Column | date | None = No
 
 def backfill(events: DataFrame, dates: DataFrame, output: Artifact) -> None:
     """Daily activity of the given dates, written by date in one job. A rerun replaces
-    its dates and leaves the others alone."""
-    wanted = events.join(dates.select("event_date"), "event_date", "left_semi")
+    its dates and leaves the others alone. The dates, one a day at most, are read first and
+    become a filter on the source's partitions; raw events are neither joined nor shuffled."""
+    days = [row["event_date"] for row in dates.select("event_date").distinct().collect()]
+    wanted = events.where(F.col("event_date").isin(days) if days else F.lit(False))
     stamped = daily_activity(wanted).withColumn("created_at", F.current_timestamp())
     by_date = Artifact(output.path, output.format, "overwrite", output.options, ("event_date",))
     write_artifact(stamped.repartition("event_date"), by_date, replace_partitions=True)

@@ -51,7 +51,7 @@ def test_top_key_breaks_ties_and_survives_nothing(spark):
     df = spark.createDataFrame([(3,), (3,), (1,), (1,), (2,)], "vendor_id long")
     row = agg.top_key(df, "vendor_id").first()
     assert (row.top_vendor_id, row.top_rows, row.top_share) == (1, 2, 0.4)
-    assert tuple(agg.top_key(df.limit(0), "vendor_id").first()) == (0, 0, 0.0)
+    assert tuple(agg.top_key(df.limit(0), "vendor_id").first()) == (None, 0, 0.0)
 
 
 def test_share_of_a_missing_key_is_zero(spark):
@@ -255,10 +255,33 @@ def test_category_label(spark):
         "category_07",
         "category_42",
         "category_-1",
-        "category_12",
+        "category_123",
     ]
 
 
 def test_payload_width_without_payload_is_zero(spark):
     df = spark.range(1)
     assert df.select(labels.payload_width(df)).first()[0] == 0
+
+
+def test_labels_keep_long_numbers(spark):
+    from millrace.functions.labels import category_label, numbered
+
+    df = spark.createDataFrame([(7,), (10,), (100,), (1_234_567,), (None,)], "n long")
+    found = df.select(category_label(F.col("n")), numbered("vendor_", F.col("n"), 6)).collect()
+    assert [r[0] for r in found[:4]] == [
+        "category_07", "category_10", "category_100", "category_1234567",
+    ]
+    assert [r[1] for r in found[:4]] == [
+        "vendor_000007", "vendor_000010", "vendor_000100", "vendor_1234567",
+    ]
+
+
+def test_top_key_may_be_null_or_text(spark):
+    from millrace.operators.aggregates import top_key
+
+    numbers = spark.createDataFrame([(None,), (None,), (5,)], "k long")
+    assert tuple(top_key(numbers, "k").first()) == (None, 2, 2 / 3)
+    tied = spark.createDataFrame([("b",), ("a",), (None,)], "k string")
+    assert tuple(top_key(tied, "k").first()) == ("a", 1, 1 / 3)
+    assert tuple(top_key(numbers.limit(0), "k").first()) == (None, 0, 0.0)

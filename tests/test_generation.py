@@ -62,7 +62,7 @@ def test_shapes(tables):
     ).first()
     assert tuple(sale[:4]) == (1, 5, date(2026, 1, 1), date(2026, 1, 30))
     assert 1.0 <= sale[4] and sale[5] <= 501.0
-    assert sale[6] == sale[7] == 64
+    assert sale[6] == sale[7] == 80
     other = tables["sales"].where("vendor_id <> 1").select("vendor_id").distinct()
     assert {r.vendor_id for r in other.collect()} == set(range(2, 21))
     assert tables["vendors"].where("vendor_id = 7").first().vendor_name == "vendor_000007"
