@@ -142,6 +142,7 @@ def train(
     rate: float = 0.5,
     lost_share: float = 0.001,
     highest_least: float = 0.5,
+    chance_times: float = 1.2,
     seed: int = 5,
 ) -> Model:
     """Learns from a bounded sample of rows (doc_id, text, lang).
@@ -150,7 +151,8 @@ def train(
     a linear softmax tells its language. Both are trained by stochastic gradient descent, one
     text at a time and as many times as make `updates`, on four fifths of the sample. The last fifth sets the temperature that
     makes scores honest, and the least score: the `lost_share` quantile of the scores of right
-    predictions, `highest_least` at most. The sample has at most `rows` rows; of each the
+    predictions, but at most `highest_least`, and `chance_times` what a guess would score, so
+    that mixed and short texts stay and only those as good as guessed are rejected. The sample has at most `rows` rows; of each the
     driver holds bucket counts, not the text. Without labelled rows the model knows no language.
     """
     ship(labelled.sparkSession)
@@ -202,7 +204,8 @@ def train(
     right = chance.argmax(axis=1) == truth
     sure = chance.max(axis=1)[right]
     least = float(np.quantile(sure, lost_share)) if len(sure) else 0.0
-    return Model(langs, scores.astype(np.float32), bias, temperature, min(least, highest_least))
+    least = min(least, highest_least, chance_times / len(langs))
+    return Model(langs, scores.astype(np.float32), bias, temperature, least)
 
 
 def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
