@@ -93,8 +93,9 @@ def pair_runs(
     candidate_variant: str,
     latest_by: str = "created_at",
 ) -> DataFrame:
-    """One row per workload with the latest run of each variant as ``baseline`` and
-    ``candidate`` structs. One shuffle with map-side reduction, no self-join."""
+    """One row per workload with the latest run (by ``latest_by``) of each variant as
+    ``baseline`` and ``candidate`` structs, null where a variant was not measured. One shuffle
+    with map-side reduction, no self-join."""
     run = F.struct("run_id", *BUDGET_METRICS)
     order = F.struct(latest_by, "run_id")
 
@@ -106,7 +107,6 @@ def pair_runs(
         runs.where(F.col("workload_variant").isin(baseline_variant, candidate_variant))
         .groupBy("workload_name")
         .agg(latest(baseline_variant).alias("baseline"), latest(candidate_variant).alias("candidate"))
-        .where(F.col("baseline").isNotNull() & F.col("candidate").isNotNull())
     )
 
 
@@ -131,6 +131,7 @@ def budget_profile() -> Column:
     )
 
 
+# Names of the stored growth columns.
 GROWTH = {
     "executor_run_time_delta_pct": "executor_run_time_ms",
     "shuffle_written_delta_pct": "shuffle_bytes_written",
@@ -142,13 +143,17 @@ GROWTH = {
 
 
 def growth(pairs: DataFrame) -> DataFrame:
-    """Adds the seven growth percentages."""
+    """Adds the seven growth percentages, null without both runs."""
     deltas = {
         name: pct_growth(F.col(f"baseline.{metric}"), F.col(f"candidate.{metric}"))
         for name, metric in GROWTH.items()
     }
     deltas["spill_delta_pct"] = pct_growth(_spill("baseline"), _spill("candidate"))
-    return pairs.withColumns(deltas)
+    return pairs.withColumns({name: F.when(_both(), delta) for name, delta in deltas.items()})
+
+
+def _both() -> Column:
+    return F.col("baseline").isNotNull() & F.col("candidate").isNotNull()
 
 
 def _new_spill(metric: str, limit: Column) -> Column:
@@ -158,8 +163,10 @@ def _new_spill(metric: str, limit: Column) -> Column:
 
 def budget_decisions(pairs: DataFrame, rules: BudgetRules = BudgetRules()) -> DataFrame:
     """Profile, growth, failed rules and decision per pair. Growth must exceed the
-    limit to fail, and a pair with too little signal is a warning whatever failed."""
-    judged = growth(pairs).withColumn("workload_profile", budget_profile())
+    limit to fail, and a pair with too little signal is a warning whatever failed. A
+    workload without one of the runs is ``MISSING_BASELINE`` or ``MISSING_CANDIDATE``, with
+    no profile, rule or flag."""
+    judged = growth(pairs).withColumn("workload_profile", F.when(_both(), budget_profile()))
     low_signal = (
         F.greatest("baseline.executor_run_time_ms", "candidate.executor_run_time_ms")
         < rules.min_executor_runtime_ms
@@ -185,11 +192,15 @@ def budget_decisions(pairs: DataFrame, rules: BudgetRules = BudgetRules()) -> Da
         ),
     )
     return (
-        judged.withColumn("failed_rules", failed)
-        .withColumn("warning_flags", joined_names(("LOW_SIGNAL_LOCAL_RUN", low_signal)))
+        judged.withColumn("failed_rules", F.when(_both(), failed).otherwise(F.lit("")))
+        .withColumn(
+            "warning_flags", joined_names(("LOW_SIGNAL_LOCAL_RUN", _both() & low_signal))
+        )
         .withColumn(
             "decision",
-            F.when(F.col("warning_flags") != "", F.lit("WARNING_LOW_SIGNAL"))
+            F.when(F.col("baseline").isNull(), F.lit("MISSING_BASELINE"))
+            .when(F.col("candidate").isNull(), F.lit("MISSING_CANDIDATE"))
+            .when(F.col("warning_flags") != "", F.lit("WARNING_LOW_SIGNAL"))
             .when(F.col("failed_rules") != "", F.lit("FAIL"))
             .otherwise(F.lit("PASS")),
         )
@@ -224,8 +235,9 @@ def output_compatibility(
     baseline: DataFrame, candidate: DataFrame, revenue_tolerance: float = 0.01
 ) -> DataFrame:
     """One row: do two business outputs agree in schema, rows, revenue and orders, and
-    in how many rows they differ as bags. Both sides go through one union, so there
-    is one shuffle and no join."""
+    in how many rows they differ as bags; ``identical`` asks for equal rows, ``compatible``
+    for equal totals. A column only one side has is not compared, and its totals are 0.
+    Both sides go through one union, so there is one shuffle and no join."""
     same_schema = [(f.name, f.dataType) for f in baseline.schema.fields] == [
         (f.name, f.dataType) for f in candidate.schema.fields
     ]
@@ -236,7 +248,9 @@ def output_compatibility(
     per_row = sides.groupBy(*shared).agg(
         F.count_if(F.col("side") == 1).alias("b"), F.count_if(F.col("side") == -1).alias("c")
     )
-    cents = to_cents(F.col("gross_revenue"))
+    none = F.lit(None).cast("long")
+    cents = to_cents(F.col("gross_revenue")) if "gross_revenue" in shared else none
+    orders = F.col("order_count") if "order_count" in shared else none
 
     def total(value: Column) -> Column:
         return F.coalesce(F.sum(value), F.lit(0).cast("long"))
@@ -246,8 +260,8 @@ def output_compatibility(
         total(F.col("c")).alias("candidate_row_count"),
         total(cents * F.col("b")).alias("b_cents"),
         total(cents * F.col("c")).alias("c_cents"),
-        total(F.col("order_count") * F.col("b")).alias("baseline_total_order_count"),
-        total(F.col("order_count") * F.col("c")).alias("candidate_total_order_count"),
+        total(orders * F.col("b")).alias("baseline_total_order_count"),
+        total(orders * F.col("c")).alias("candidate_total_order_count"),
         total(F.abs(F.col("b") - F.col("c"))).alias("differing_rows"),
     )
     compatible = (
@@ -269,4 +283,5 @@ def output_compatibility(
         "differing_rows",
         F.lit(same_schema).alias("same_schema"),
         compatible.alias("compatible"),
+        (F.lit(same_schema) & (F.col("differing_rows") == 0)).alias("identical"),
     )

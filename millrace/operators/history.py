@@ -36,19 +36,22 @@ DRIFT_METRICS = ("runtime_per_million_rows", "shuffle_per_million_rows", "tasks_
 
 def backfill_rates(raw_metrics: DataFrame, plan: DataFrame, identity: list[str]) -> DataFrame:
     """Raw counters per processing date with the planned volume and rates per million
-    planned rows. Dates outside the plan are left out; ``unplanned_dates`` lists them."""
+    planned rows. Dates outside the plan have no rates and ``planned`` false."""
     metrics = run_metrics(raw_metrics, identity).drop("spill_total_bytes")
     planned = plan.select(
         F.col("event_date").alias("processing_date"),
         F.col("expected_rows").alias("source_rows_for_date"),
         "volume_multiplier",
         "spike_label",
+        F.lit(True).alias("planned"),
     )
-    return metrics.join(planned, "processing_date").withColumns(
+    rows = F.col("source_rows_for_date")
+    return metrics.join(planned, "processing_date", "left").withColumns(
         {
-            name: per_million(F.col(metric), F.col("source_rows_for_date"))
+            name: F.when(rows.isNotNull(), per_million(F.col(metric), rows))
             for name, metric in RATES.items()
         }
+        | {"planned": F.coalesce("planned", F.lit(False))}
     )
 
 

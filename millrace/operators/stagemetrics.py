@@ -102,19 +102,37 @@ def with_usefulness(df: DataFrame) -> DataFrame:
     return df.withColumn("reason", reason).withColumn("valid", F.col("reason").isNull())
 
 
-def _usable(df: DataFrame) -> DataFrame:
-    """Rows with the required counters and at least one stage and task."""
+def _require(df: DataFrame) -> DataFrame:
     for name in REQUIRED:
         if name not in df.columns:
             raise ValueError(f"metrics table has no {name} column")
-    return df.where(
-        (F.col("numStages") >= 1) & (F.col("numTasks") >= 1) & F.col("executorRunTime").isNotNull()
+    return df
+
+
+def _rejection() -> Column:
+    """Why a run has no ratios, or null: a required counter is null, or below one."""
+    null = F.concat_ws(",", *[F.when(F.col(n).isNull(), F.lit(n)) for n in REQUIRED])
+    return (
+        F.when(null != "", F.concat(F.lit("null: "), null))
+        .when(F.col("numStages") < 1, F.lit("no stage"))
+        .when(F.col("numTasks") < 1, F.lit("no task"))
     )
 
 
+def _usable(df: DataFrame) -> DataFrame:
+    """Rows with the required counters and at least one stage and task."""
+    return _require(df).where(_rejection().isNull())
+
+
+def rejected_runs(df: DataFrame, identity: list[str]) -> DataFrame:
+    """The runs that ``run_metrics`` cannot use, each with its ``rejection``."""
+    found = _require(df).withColumn("rejection", _rejection())
+    return found.where("rejection IS NOT NULL").select(*identity, *REQUIRED, "rejection")
+
+
 def run_metrics(df: DataFrame, identity: list[str]) -> DataFrame:
     """The eleven counters under their normalised names with shuffle and spill totals.
-    Rows without useful metrics are left out; ``with_usefulness`` says why."""
+    Runs without stages, tasks or run time are in ``rejected_runs`` instead."""
     plain = _usable(df).select(
         *identity, *[counter(df, name).alias(name) for name in COUNTER_NAMES]
     )
@@ -149,11 +167,13 @@ def normalized_metrics(df: DataFrame, identity: list[str]) -> DataFrame:
 
 def contract_ready(df: DataFrame, identity: list[str]) -> DataFrame:
     """Counters with an ``<metric>_available`` flag each, so that an emitted zero and a
-    metric that was never emitted stay apart."""
-    metrics = (*OPTIONAL_METRICS, "executor_run_time_ms", "num_stages", "num_tasks")
-    return _usable(df).select(
+    metric that was never emitted stay apart. Every run is kept, and a required counter
+    that is null stays null, so that the contract judges it."""
+    required = ("executor_run_time_ms", "num_stages", "num_tasks")
+    return _require(df).select(
         *identity,
-        *[counter(df, name).alias(name) for name in metrics],
+        *[counter(df, name).alias(name) for name in OPTIONAL_METRICS],
+        *[raw(df, COUNTER_NAMES[name]).cast("long").alias(name) for name in required],
         *[
             raw(df, COUNTER_NAMES[name]).isNotNull().alias(f"{name}_available")
             for name in OPTIONAL_METRICS

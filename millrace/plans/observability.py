@@ -12,13 +12,14 @@ def fingerprint_runs(
     identity: list[str],
     rules: stagemetrics.FingerprintRules = stagemetrics.FingerprintRules(),
 ) -> dict[str, DataFrame]:
-    """Stage-metric rows and fingerprint rows of every useful run."""
+    """Stage-metric rows and fingerprint rows of every useful run, and the rejected runs."""
     normalized = stagemetrics.normalized_metrics(raw_metrics, identity)
     return {
         "stage_metrics": stagemetrics.stage_metric_records(normalized),
         "fingerprints": stagemetrics.fingerprint_records(
             stagemetrics.workload_fingerprint(normalized, rules)
         ),
+        "rejected": stagemetrics.rejected_runs(raw_metrics, identity),
     }
 
 
@@ -31,13 +32,14 @@ def guard_runtime(
     baseline_output: DataFrame | None = None,
     candidate_output: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Budget decisions for every workload measured in both variants, and the output
-    comparison when both outputs are given."""
+    """Budget decisions for every workload measured in either variant, the rejected runs, and
+    the output comparison when both outputs are given."""
     runs = stagemetrics.run_metrics(raw_metrics, identity)
     pairs = budget.pair_runs(runs, baseline_variant, candidate_variant)
     result = {
         "stage_metrics": stagemetrics.stage_metric_records(runs),
         "decisions": budget.decision_records(budget.budget_decisions(pairs, rules)),
+        "rejected": stagemetrics.rejected_runs(raw_metrics, identity),
     }
     if baseline_output is not None and candidate_output is not None:
         result["compatibility"] = budget.output_compatibility(baseline_output, candidate_output)

@@ -20,7 +20,13 @@ from millrace.generate.volume import (
 )
 from millrace.operators.aggregates import average_ticket
 from millrace.operators.profile import has_rows
-from millrace.sources.artifacts import Artifact, read_artifact, read_or_empty, write_artifact
+from millrace.sources.artifacts import (
+    Artifact,
+    drop_partitions,
+    read_artifact,
+    read_or_empty,
+    write_artifact,
+)
 from millrace.sources.eventlog import job_step, stage_aggregate
 
 EVENT_SCHEMA = """
@@ -62,22 +68,43 @@ def daily_activity(events: DataFrame, processing_date: Column | date | None = No
     )
 
 
+def days_of(dates: DataFrame) -> list[date]:
+    return [row["event_date"] for row in dates.select("event_date").distinct().collect()]
+
+
+def of_days(events: DataFrame, days: list[date]) -> DataFrame:
+    """Events of the given days, by a filter on the source's partitions."""
+    return events.where(F.col("event_date").isin(days) if days else F.lit(False))
+
+
 def backfill(events: DataFrame, dates: DataFrame, output: Artifact) -> None:
     """Daily activity of the given dates, written by date in one job. A rerun replaces
-    its dates and leaves the others alone. The dates, one a day at most, are read first and
-    become a filter on the source's partitions; raw events are neither joined nor shuffled."""
-    days = [row["event_date"] for row in dates.select("event_date").distinct().collect()]
-    wanted = events.where(F.col("event_date").isin(days) if days else F.lit(False))
-    stamped = daily_activity(wanted).withColumn("created_at", F.current_timestamp())
+    its dates, also one that has no events any more, and leaves the others alone. The dates,
+    one a day at most, are read first and become a filter on the source's partitions; raw
+    events are neither joined nor shuffled."""
+    days = days_of(dates)
+    _write_days(events, days, output)
+    _drop_empty(events, days, output)
+
+
+def _write_days(events: DataFrame, days: list[date], output: Artifact) -> None:
+    stamped = daily_activity(of_days(events, days)).withColumn("created_at", F.current_timestamp())
     by_date = Artifact(output.path, output.format, "overwrite", output.options, ("event_date",))
     write_artifact(stamped.repartition("event_date"), by_date, replace_partitions=True)
 
 
+def _drop_empty(events: DataFrame, days: list[date], output: Artifact) -> None:
+    """Removes earlier output of days that have no events. Of the source only the partition
+    column is read."""
+    empty = sorted(set(days) - set(days_of(of_days(events, days))))
+    drop_partitions(events.sparkSession, output, "event_date", [str(day) for day in empty])
+
+
 def backfill_day(spark: SparkSession, events: DataFrame, day: date, output: Artifact) -> None:
     """One date as a step of its own, so that its cost can be read from the event log."""
-    dates = spark.createDataFrame([(day,)], "event_date date")
     with job_step(spark, f"{BACKFILL_STEP}{day.isoformat()}"):
-        backfill(events.where(F.col("event_date") == F.lit(day)), dates, output)
+        _write_days(events, [day], output)
+    _drop_empty(events, [day], output)
 
 
 def logged_backfills(logged: DataFrame) -> DataFrame:

@@ -24,6 +24,14 @@ def daily_activity_first_day(spark: SparkSession, folder: str) -> DataFrame:
     return temporal.daily_activity(events, first)
 
 
+def daily_activity_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """What a backfill of the spike days writes."""
+    spikes = volume_spikes(spark, folder).where("volume_multiplier > 1")
+    return temporal.daily_activity(
+        temporal.of_days(temporal_events(spark, folder), temporal.days_of(spikes))
+    )
+
+
 def _planned(spark: SparkSession, folder: str) -> DataFrame:
     return volume.planned_volumes(
         volume_bounds(spark, folder), volume_spikes(spark, folder), target=500, most=16
@@ -63,6 +71,7 @@ QUERIES = {
     for query in (
         daily_activity,
         daily_activity_first_day,
+        daily_activity_dates,
         volume_plan,
         existing_dates,
         missing_dates,
@@ -112,6 +121,8 @@ SQL = {
     "daily_activity": f"{_ACTIVITY} GROUP BY ALL",
     "daily_activity_first_day": f"""{_ACTIVITY}
 WHERE event_date = (SELECT min(event_date) FROM typed) GROUP BY ALL""",
+    "daily_activity_dates": f"""{_ACTIVITY.replace(EVENTS, PLAN)}
+WHERE event_date IN (SELECT event_date FROM planned WHERE volume_multiplier > 1) GROUP BY ALL""",
     "volume_plan": f"WITH {PLAN} SELECT * FROM planned",
     "existing_dates": f"WITH {EVENTS} SELECT DISTINCT event_date FROM typed",
     "missing_dates": f"WITH {PLAN} SELECT * FROM planned WHERE event_date NOT IN {_LARGE}",

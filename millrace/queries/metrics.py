@@ -161,6 +161,22 @@ def budget_decision(spark: SparkSession, folder: str) -> DataFrame:
     return budget.decision_records(decisions).drop("created_at")
 
 
+def budget_unpaired(spark: SparkSession, folder: str) -> DataFrame:
+    """Decisions where one workload in three lost its approved runs and one its candidates."""
+    number = F.substring("workload_name", 10, 20).cast("long") % 3
+    lost = F.when(number == 0, F.lit("approved_baseline")).when(number == 1, F.lit("candidate"))
+    runs = run_metrics(spark, folder).where(~F.col("workload_variant").eqNullSafe(lost))
+    pairs = budget.pair_runs(runs, "approved_baseline", "candidate")
+    return budget.budget_decisions(pairs, BUDGET_RULES).select(
+        "workload_name",
+        F.col("baseline.run_id").alias("baseline_run_id"),
+        F.col("candidate.run_id").alias("candidate_run_id"),
+        "decision",
+        "failed_rules",
+        "executor_run_time_delta_pct",
+    )
+
+
 def overhead_summary(spark: SparkSession, folder: str) -> DataFrame:
     return overhead.overhead_summary(overhead_runs(spark, folder), ["benchmark_id"])
 
@@ -181,6 +197,17 @@ def backfill_rates(spark: SparkSession, folder: str) -> DataFrame:
     return _rates(spark, folder).drop("created_at")
 
 
+def backfill_rates_all_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """A plan of the spike days alone; the other dates are kept without rates."""
+    plan = planned_volumes(volume_bounds(spark, folder), volume_spikes(spark, folder))
+    rates = history.backfill_rates(
+        daily_counters(spark, folder), plan.where("volume_multiplier > 1"), DAILY_IDENTITY
+    )
+    return rates.select(
+        "processing_date", "records_read", "source_rows_for_date", "planned", *history.RATES
+    )
+
+
 def backfill_records(spark: SparkSession, folder: str) -> DataFrame:
     plan = planned_volumes(volume_bounds(spark, folder), volume_spikes(spark, folder))
     records = history.backfill_records(
@@ -269,8 +296,10 @@ QUERIES = {
         workload_fingerprint,
         budget_growth,
         budget_decision,
+        budget_unpaired,
         overhead_summary,
         backfill_rates,
+        backfill_rates_all_dates,
         backfill_records,
         unplanned_dates,
         metrics_history,
@@ -532,7 +561,8 @@ pairs AS (
     FROM {_latest('approved_baseline')} b JOIN {_latest('candidate')} c USING (workload_name))"""
 
 _DELTAS = ", ".join([*budget.GROWTH, "spill_delta_pct"])
-_DECISION = f"""{_PAIRS},
+_SUPPLIER = "CAST(substr(workload_name, 10) AS BIGINT) % 3"
+_JUDGED = f"""{_PAIRS},
 limits(workload_profile, runtime, written, read, tasks, stages) AS (
     VALUES {', '.join(_limits(p) for p in (budget.SHUFFLE_HEAVY, budget.MEMORY_PRESSURE, budget.BALANCED))}),
 judged AS (
@@ -544,7 +574,8 @@ judged AS (
         CASE WHEN num_stages_delta_pct > stages THEN 'MAX_NUM_STAGES_GROWTH_PCT' END,
         CASE WHEN new_memory THEN 'MEMORY_SPILL_BYTES_ABOVE_BUDGET' END,
         CASE WHEN new_disk THEN 'DISK_SPILL_BYTES_ABOVE_BUDGET' END) AS failed_rules
-    FROM pairs JOIN limits USING (workload_profile))
+    FROM pairs JOIN limits USING (workload_profile))"""
+_DECISION = f"""{_JUDGED}
 SELECT baseline_run_id, candidate_run_id, workload_name, workload_profile,
        CASE WHEN low_signal THEN 'WARNING_LOW_SIGNAL' WHEN failed_rules <> '' THEN 'FAIL'
             ELSE 'PASS' END AS decision,
@@ -598,7 +629,7 @@ rates AS (
     SELECT run_id, run_id || '-' || strftime(processing_date, '%Y%m%d') AS date_run_id,
            'early_partition_filter' AS filter_strategy, c.* EXCLUDE (run_id),
            shuffle_bytes_read + shuffle_bytes_written AS shuffle_total_bytes,
-           expected_rows AS source_rows_for_date, volume_multiplier, spike_label
+           expected_rows AS source_rows_for_date, volume_multiplier, spike_label, true AS planned
     FROM counters c JOIN planned ON event_date = processing_date),
 daily AS (SELECT *, {_RATES_SQL} FROM rates)"""
 
@@ -673,8 +704,23 @@ SELECT run_id, stages AS "numStages", tasks AS "numTasks", run_ms AS "executorRu
     "workload_fingerprint": _FINGERPRINT,
     "budget_growth": f"{_PAIRS} SELECT workload_name, baseline_run_id, candidate_run_id, {_DELTAS} FROM pairs",
     "budget_decision": _DECISION,
+    "budget_unpaired": f"""{_JUDGED}
+SELECT workload_name, baseline_run_id, candidate_run_id,
+       CASE WHEN low_signal THEN 'WARNING_LOW_SIGNAL' WHEN failed_rules <> '' THEN 'FAIL'
+            ELSE 'PASS' END AS decision, failed_rules, executor_run_time_delta_pct
+FROM judged WHERE {_SUPPLIER} = 2
+UNION ALL SELECT workload_name, NULL, run_id, 'MISSING_BASELINE', '', NULL
+FROM {_latest('candidate')} WHERE {_SUPPLIER} = 0
+UNION ALL SELECT workload_name, run_id, NULL, 'MISSING_CANDIDATE', '', NULL
+FROM {_latest('approved_baseline')} WHERE {_SUPPLIER} = 1""",
     "overhead_summary": _OVERHEAD,
     "backfill_rates": f"WITH {_DAILY} SELECT * EXCLUDE (created_at) FROM daily",
+    "backfill_rates_all_dates": f"""WITH {_DAILY}
+SELECT processing_date, records_read, planned, source_rows_for_date,
+       {', '.join(f'CASE WHEN planned THEN {name} END AS {name}' for name in history.RATES)}
+FROM (SELECT * REPLACE (volume_multiplier > 1 AS planned,
+             CASE WHEN volume_multiplier > 1 THEN source_rows_for_date END AS source_rows_for_date)
+      FROM daily)""",
     "backfill_records": f"""WITH {_DAILY},
 span AS (SELECT CAST(min(event_date) AS VARCHAR) AS d0, CAST(max(event_date) AS VARCHAR) AS d1 FROM planned)
 SELECT run_id, date_run_id, 'daily' AS app_name, CAST(NULL AS VARCHAR) AS application_id,

@@ -72,8 +72,8 @@ def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.duplicate_groups(lines, ["l_orderkey", "l_linenumber"])
 
 
-def _contract_rows(spark: SparkSession, folder: str) -> DataFrame:
-    metrics = contract_ready(run_counters(spark, folder), RUN_IDENTITY)
+def _contract_rows(counters: DataFrame) -> DataFrame:
+    metrics = contract_ready(counters, RUN_IDENTITY)
     return metrics.withColumns(
         {
             "lab_id": F.lit("area-1"),
@@ -85,7 +85,7 @@ def _contract_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def contract_ready_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _contract_rows(spark, folder)
+    return _contract_rows(run_counters(spark, folder))
 
 
 def _results(metrics: DataFrame) -> DataFrame:
@@ -95,16 +95,29 @@ def _results(metrics: DataFrame) -> DataFrame:
 
 
 def contract_results(spark: SparkSession, folder: str) -> DataFrame:
-    return _results(contract.with_broken_copies(_contract_rows(spark, folder)))
+    return _results(contract.with_broken_copies(_contract_rows(run_counters(spark, folder))))
 
 
 def contract_results_clean(spark: SparkSession, folder: str) -> DataFrame:
-    return _results(_contract_rows(spark, folder))
+    return _results(_contract_rows(run_counters(spark, folder)))
+
+
+def contract_results_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """Bad runs as they come from the collector: no stage, no count of tasks, no run time."""
+    small = F.col("numTasks")
+    counters = run_counters(spark, folder).withColumns(
+        {
+            "numStages": F.when(small != 7, F.col("numStages")).otherwise(0),
+            "numTasks": F.when(small != 9, F.col("numTasks")),
+            "executorRunTime": F.when(small != 11, F.col("executorRunTime")),
+        }
+    )
+    return _results(_contract_rows(counters))
 
 
 def contract_results_narrow(spark: SparkSession, folder: str) -> DataFrame:
     """The same rules over a table that lost some of its columns."""
-    metrics = contract.with_broken_copies(_contract_rows(spark, folder))
+    metrics = contract.with_broken_copies(_contract_rows(run_counters(spark, folder)))
     return _results(metrics.drop("num_tasks", "input_bytes", "lab_id", "workload_variant"))
 
 
@@ -128,6 +141,7 @@ QUERIES = {
         hot_key_share,
         duplicate_keys,
         contract_ready_metrics,
+        contract_results_observed,
         contract_results,
         contract_results_clean,
         contract_results_narrow,
@@ -312,6 +326,16 @@ _RESULTS = _contract_sql(_BROKEN_SOURCE, _FULL_KEY, _GROUP)
 _CLEAN = _contract_sql(
     f"WITH {RUNS}, " + _BROKEN.format(ready=_READY, copies="'clean'"), _FULL_KEY, _GROUP
 )
+_OBSERVED = _contract_sql(
+    f"""WITH {RUNS}, ready AS ({_READY}),
+broken AS (
+    SELECT *, shuffle_bytes_written AS sh_written FROM (SELECT * REPLACE (
+        CASE WHEN num_tasks <> 7 THEN num_stages ELSE 0 END AS num_stages,
+        CASE WHEN num_tasks <> 9 THEN num_tasks END AS num_tasks,
+        CASE WHEN num_tasks <> 11 THEN executor_run_time_ms END AS executor_run_time_ms) FROM ready))""",
+    _FULL_KEY,
+    _GROUP,
+)
 _NARROW = _contract_sql(
     _BROKEN_SOURCE,
     _NARROW_KEY,
@@ -362,6 +386,7 @@ FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""",
     "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS row_count
 FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
     "contract_ready_metrics": f"WITH {RUNS} {_READY}",
+    "contract_results_observed": f"{_OBSERVED} SELECT * FROM results",
     "contract_results": f"{_RESULTS} SELECT * FROM results",
     "contract_results_clean": f"{_CLEAN} SELECT * FROM results",
     "contract_results_narrow": f"{_NARROW} SELECT * FROM results",

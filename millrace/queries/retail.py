@@ -98,9 +98,17 @@ def business_output_candidate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def output_compatibility(spark: SparkSession, folder: str) -> DataFrame:
-    return budget.output_compatibility(
-        business_output(spark, folder), business_output_candidate(spark, folder)
-    )
+    """A candidate that lost the sales of a single piece."""
+    tables = retail_tables(spark, folder)
+    fewer = tables | {"sales": tables["sales"].where("quantity > 1")}
+    return budget.output_compatibility(retail.business_output(tables), retail.business_output(fewer))
+
+
+def output_compatibility_relabelled(spark: SparkSession, folder: str) -> DataFrame:
+    """A candidate with the same totals that names one region otherwise."""
+    output = business_output(spark, folder)
+    region = F.when(F.col("region") == "ASIA", F.lit("EAST")).otherwise(F.col("region"))
+    return budget.output_compatibility(output, output.withColumn("region", region))
 
 
 def top_sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -174,6 +182,7 @@ QUERIES = {
         business_output,
         business_output_candidate,
         output_compatibility,
+        output_compatibility_relabelled,
         top_sales,
         sales_by_amount,
         audit_fingerprint,
@@ -240,6 +249,26 @@ _BUSINESS = f"""SELECT month AS order_month, coalesce(vendor_region, 'UNKNOWN')
        count(DISTINCT customer_id) AS customer_count
 FROM star GROUP BY 1, 2, 3"""
 
+
+
+def _compared(candidate: str) -> str:
+    return f"""WITH {STAR}, b AS ({_BUSINESS}), c AS ({candidate}),
+sums AS (
+    SELECT (SELECT count(*) FROM b) AS baseline_row_count, (SELECT count(*) FROM c) AS candidate_row_count,
+           (SELECT {total('round(gross_revenue * 100)')} FROM b) AS b_cents,
+           (SELECT {total('round(gross_revenue * 100)')} FROM c) AS c_cents,
+           (SELECT {total('order_count')} FROM b) AS baseline_total_order_count,
+           (SELECT {total('order_count')} FROM c) AS candidate_total_order_count,
+           (SELECT count(*) FROM (FROM b EXCEPT ALL FROM c))
+             + (SELECT count(*) FROM (FROM c EXCEPT ALL FROM b)) AS differing_rows)
+SELECT * EXCLUDE (b_cents, c_cents), b_cents / 100.0 AS baseline_total_revenue,
+       c_cents / 100.0 AS candidate_total_revenue, true AS same_schema,
+       baseline_row_count = candidate_row_count AND abs(b_cents - c_cents) <= 1
+         AND baseline_total_order_count = candidate_total_order_count AS compatible,
+       differing_rows = 0 AS identical
+FROM sums"""
+
+
 _AUDIT_TEXT = (
     "concat_ws(':', sale_id, product_id, customer_id, CAST(sale_amount AS DECIMAL(18,2)), sale_date)"
 )
@@ -271,14 +300,12 @@ FROM summed""",
     "fingerprint_workload": f"{_TWO_LEVEL} SELECT * EXCLUDE (payload_bytes_observed) FROM summed",
     "business_output": f"WITH {STAR} {_BUSINESS}",
     "business_output_candidate": f"WITH {STAR} {_BUSINESS}",
-    "output_compatibility": f"""WITH {STAR}, output AS ({_BUSINESS}),
-sums AS (SELECT count(*) AS n, {total('round(gross_revenue * 100)')} AS cents,
-                {total('order_count')} AS orders FROM output)
-SELECT n AS baseline_row_count, n AS candidate_row_count,
-       cents / 100.0 AS baseline_total_revenue, cents / 100.0 AS candidate_total_revenue,
-       orders AS baseline_total_order_count, orders AS candidate_total_order_count,
-       {bigint('0')} AS differing_rows, true AS same_schema, true AS compatible
-FROM sums""",
+    "output_compatibility": _compared(
+        _BUSINESS.replace("FROM star", "FROM star WHERE quantity > 1")
+    ),
+    "output_compatibility_relabelled": _compared(
+        "SELECT * REPLACE (CASE region WHEN 'ASIA' THEN 'EAST' ELSE region END AS region) FROM b"
+    ),
     "top_sales": f"""WITH {STAR} {_ENRICHED}
 ORDER BY sale_amount DESC, sale_id, product_id, vendor_id, sale_date LIMIT {TOP}""",
     "sales_by_amount": f"WITH {STAR} {_ENRICHED} ORDER BY sale_amount DESC, sale_id",

@@ -69,6 +69,16 @@ def write_artifact(
     writer.save(artifact.path)
 
 
+def drop_partitions(
+    spark: SparkSession, artifact: Artifact, column: str, values: list[str]
+) -> None:
+    """Removes the partition folders of the given values where they exist."""
+    context = spark.sparkContext
+    for value in values:
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{artifact.path}/{column}={value}")
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def run_output(base: str) -> Artifact:
     """Outputs of benchmark runs: one table partitioned by run identity. Refuses to
     write over an existing run when the run's own partition path is used."""

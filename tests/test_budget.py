@@ -124,10 +124,14 @@ def test_latest_run_of_each_variant_is_compared(spark):
         for v in ("base", "cand", "other")
         for t in (1, 3, 2)
     ] + [{**DEFAULTS, "workload_name": "alone", "workload_variant": "base", "run_id": "x", "created_at": "1"}]
-    found = budget.pair_runs(spark.createDataFrame(rows, schema), "base", "cand").collect()
-    assert [(r.workload_name, r.baseline.run_id, r.candidate.run_id) for r in found] == [
+    found = budget.pair_runs(spark.createDataFrame(rows, schema), "base", "cand")
+    both = found.where("candidate IS NOT NULL").collect()
+    assert [(r.workload_name, r.baseline.run_id, r.candidate.run_id) for r in both] == [
         ("w", "base3", "cand3")
     ]
+    alone = budget.budget_decisions(found).where("workload_name = 'alone'").first()
+    assert (alone.decision, alone.failed_rules, alone.warning_flags) == ("MISSING_CANDIDATE", "", "")
+    assert alone.executor_run_time_delta_pct is None and alone.workload_profile is None
 
 
 def test_decision_record_keeps_both_metric_sets(spark):
@@ -155,6 +159,7 @@ def test_output_compatibility(spark, change, compatible, differing):
     candidate = spark.createDataFrame([rows[0], change or rows[1]], OUTPUT)
     row = budget.output_compatibility(baseline, candidate).first()
     assert (row.compatible, row.differing_rows) == (compatible, differing)
+    assert row.identical == (differing == 0)
     assert row.baseline_total_revenue == 30.25
 
 
@@ -164,3 +169,5 @@ def test_output_with_other_types_or_rows_is_incompatible(spark):
     other_type = baseline.withColumn("customer_count", baseline.customer_count.cast("int"))
     assert budget.output_compatibility(baseline, other_type).first().compatible is False
     assert budget.output_compatibility(baseline, baseline.union(baseline)).first().compatible is False
+    other = budget.output_compatibility(baseline, baseline.drop("gross_revenue")).first()
+    assert other.same_schema is False and other.compatible is False

@@ -197,6 +197,20 @@ def test_append_day(spark, tmp_path):
         temporal.generate_source(spark, PLAN, source, temporal.APPEND_DAY, day, replace=True)
 
 
+def test_backfill_drops_the_output_of_a_date_without_events(spark, tmp_path):
+    days = volume.plan_volumes(spark, PLAN)
+    made = events.generate_events(days)
+    made.write.partitionBy("event_date").parquet(str(tmp_path / "events"))
+    stored = spark.read.parquet(str(tmp_path / "events"))
+    output = Artifact(str(tmp_path / "activity"))
+    temporal.backfill(stored, days, output)
+    day = "event_date = '2026-01-03'"
+    temporal.backfill(stored.where(f"NOT {day}"), days.where(day), output)
+    after = spark.read.parquet(output.path)
+    assert after.where(day).isEmpty()
+    assert after.select("event_date").distinct().count() == days.count() - 1
+
+
 def test_backfill_replaces_only_its_dates(spark, tmp_path):
     days = volume.plan_volumes(spark, PLAN)
     made = events.generate_events(days)

@@ -126,7 +126,10 @@ def test_rates_per_million_rows(spark):
 def test_unplanned_dates_are_reported(spark):
     raw, plan, identity = daily(spark)
     short = plan.where("event_date < '2026-01-04'")
-    assert history.backfill_rates(raw, short, identity).count() == 6
+    rates = history.backfill_rates(raw, short, identity)
+    assert rates.where("planned").count() == 6
+    left = rates.where("NOT planned").collect()
+    assert len(left) == 4 and all(r.runtime_per_million_rows is None for r in left)
     assert sorted(str(r[0]) for r in history.unplanned_dates(raw, short).collect()) == [
         "2026-01-04",
         "2026-01-05",

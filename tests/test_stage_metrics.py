@@ -62,6 +62,16 @@ def test_useless_rows_are_left_out(spark):
     assert sm.run_metrics(raw(spark, executorRunTime=None), ["run_id"]).isEmpty()
 
 
+def test_rejected_runs_are_reported_and_reach_the_gate(spark):
+    bad = raw(spark, run_id="a", numTasks=0).union(raw(spark, run_id="b", numStages=None))
+    runs = bad.union(raw(spark))
+    found = {r.run_id: r.rejection for r in sm.rejected_runs(runs, ["run_id"]).collect()}
+    assert found == {"a": "no task", "b": "null: numStages"}
+    ready = {r.run_id: r for r in sm.contract_ready(runs, ["run_id"]).collect()}
+    assert set(ready) == {"a", "b", "r1"}
+    assert ready["a"].num_tasks == 0 and ready["b"].num_stages is None
+
+
 @pytest.mark.parametrize(
     ("changes", "reason"),
     [
