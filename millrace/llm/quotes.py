@@ -29,7 +29,7 @@ def parsed(messages: DataFrame) -> DataFrame:
         return F.struct(
             level(line).alias("level"),
             F.when(bare != "", F.xxhash64(bare)).alias("h1"),
-            F.xxhash64(bare, F.lit(1)).alias("h2"),
+            F.xxhash64(F.lit(1), bare).alias("h2"),
         )
 
     lines = F.filter(F.transform(split, described), lambda x: x["h1"].isNotNull())
