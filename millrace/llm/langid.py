@@ -25,6 +25,13 @@ BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (3, 4)
 UNKNOWN = "und"
+#: Openings of the sampled texts, in words, that tell how short texts behave.
+OPENINGS = (2, 8, 32)
+#: Added to each bucket's count, so that an unseen subword has a small share.
+UNSEEN = 0.5
+#: A length class, which is the power of two below the number of subwords, has its own bound
+#: if it holds so many rows.
+CLASS_ROWS = 100
 
 
 def subwords(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -59,40 +66,49 @@ def subwords(data: np.ndarray, at: np.ndarray) -> list[tuple[np.ndarray, np.ndar
 
 @dataclass(frozen=True)
 class Model:
-    """Scores of each bucket for each language, and how sure a prediction must be."""
+    """Scores of each bucket for each language, and how familiar a text's subwords must be.
+
+    `familiar` has of each bucket the logarithm of its share in the language that uses it most,
+    and `bounds` the least mean of these by length class.
+    """
 
     langs: tuple[str, ...]
     scores: np.ndarray
     bias: np.ndarray
     temperature: float
-    least: float
+    familiar: np.ndarray
+    bounds: np.ndarray
 
-    def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
+    def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The best language of each text, its score, and whether the text is rejected."""
         rows = len(column)
-        langs, score = [UNKNOWN] * rows, np.zeros(rows)
+        langs, score, rejected = [UNKNOWN] * rows, np.zeros(rows), np.ones(rows, bool)
         if not self.langs:
-            return langs, score
+            return langs, score, rejected
         data, at = texts(column)
         for lo, hi in slices(at):
             part, offsets = data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
             total = np.zeros((hi - lo, len(self.langs)))
-            count = np.zeros(hi - lo)
+            count, known = np.zeros(hi - lo), np.zeros(hi - lo)
             for bucket, place in subwords(part, offsets):
                 cuts = np.searchsorted(place, offsets)
                 count += np.diff(cuts)
                 full = np.flatnonzero(np.diff(cuts))
                 if len(full):
                     total[full] += np.add.reduceat(self.scores[bucket], cuts[full], axis=0)
+                    known[full] += np.add.reduceat(self.familiar[bucket], cuts[full])
             logits = total / np.maximum(count, 1)[:, None] + self.bias
             chance = softmax(logits / self.temperature)
             best = chance.argmax(axis=1)
             score[lo:hi] = chance[np.arange(hi - lo), best]
+            least = self.bounds[np.minimum(length_class(count), len(self.bounds) - 1)]
+            rejected[lo:hi] = known / np.maximum(count, 1) < least
             for row, lang in enumerate(best.tolist()):
                 langs[lo + row] = self.langs[lang]
         for row, text in enumerate(column):
             if not (text.is_valid and _LETTER.search(text.as_py())):
-                langs[row], score[row] = UNKNOWN, 0.0
-        return langs, score
+                langs[row], score[row], rejected[row] = UNKNOWN, 0.0, True
+        return langs, score, rejected
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -100,6 +116,51 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return raised / raised.sum(axis=-1, keepdims=True)
 
 
+def length_class(count: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(count, 1)).astype(np.int64)
+
+
+def familiarity(
+    langs: int, sample: list[tuple[int, list[tuple[np.ndarray, np.ndarray]]]], lost_share: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Model.familiar and Model.bounds, from texts of (language, histograms: whole, openings).
+
+    Known rows are texts and openings, each against all texts but its own. Unknown ones are the
+    same against the other languages only, as if theirs had never been learned. Where the two
+    are apart, the bound of a length class lies in the middle; else it is the `lost_share`
+    quantile of the known ones. A class of few rows takes in its neighbours.
+    """
+    counts = np.full((langs, BUCKETS), UNSEEN)
+    for lang, ((at, n), *_) in sample:
+        counts[lang, at] += n
+    sums = counts.sum(axis=1)
+    shares = np.log(counts / sums[:, None])
+    best = shares.argmax(axis=0)
+    familiar = shares.max(axis=0)
+    shares[best, np.arange(BUCKETS)] = -np.inf
+    second = shares.max(axis=0)
+    size, known, unknown = [], [], []
+    for lang, parts in sample:
+        own_at, own = parts[0]
+        for at, n in parts:
+            left = counts[lang, at] - own[np.searchsorted(own_at, at)]
+            others = np.where(best[at] == lang, second[at], familiar[at])
+            mine = np.log(left / (sums[lang] - own.sum()))
+            size.append(n.sum())
+            known.append(n @ np.maximum(mine, others) / n.sum())
+            unknown.append(n @ others / n.sum())
+    kind, known, unknown = length_class(np.array(size)), np.array(known), np.array(unknown)
+    bounds = np.zeros(kind.max() + 1)
+    for k in range(len(bounds)):
+        near = 0
+        while (rows := abs(kind - k) <= near).sum() < min(CLASS_ROWS, len(kind)):
+            near += 1
+        bounds[k] = low = np.quantile(known[rows], lost_share)
+        if langs > 1:
+            bounds[k] = (low + min(low, np.quantile(unknown[rows], 1 - lost_share))) / 2
+    return familiar.astype(np.float32), bounds
+
+
 def training_sample(labelled: DataFrame, per_lang: int, rows: int) -> DataFrame:
     """At most per_lang rows of a language and `rows` rows in all, chosen by a hash of doc_id."""
     order = [F.xxhash64(F.lit(5), "doc_id"), F.col("doc_id"), F.xxhash64("text")]
@@ -114,21 +175,29 @@ def training_sample(labelled: DataFrame, per_lang: int, rows: int) -> DataFrame:
     )
 
 
+def histogram(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text, in order, and how often it has each."""
+    data, at = texts(pa.array([text], pa.large_string()))
+    joined = np.concatenate([b for b, _ in subwords(data, at)])
+    return np.unique(joined, return_counts=True)
+
+
+def openings(text: str) -> list[str]:
+    """The first few words of a text that has more."""
+    words = text.split(maxsplit=max(OPENINGS))
+    return [" ".join(words[:n]) for n in OPENINGS if n < len(words)]
+
+
 def _histograms(batches):
+    many = pa.list_(pa.list_(pa.int32()))
     for batch in batches:
         buckets, counts = [], []
-        for text in batch.column("text"):
-            data, at = texts(pa.array([text.as_py()], pa.large_string()))
-            joined = np.concatenate([b for b, _ in subwords(data, at)])
-            found, many = np.unique(joined, return_counts=True)
-            buckets.append(found.astype(np.int32))
-            counts.append(many.astype(np.int32))
+        for text in batch.column("text").to_pylist():
+            parts = [histogram(part) for part in [text, *openings(text)]]
+            buckets.append([at.tolist() for at, _ in parts if len(at)])
+            counts.append([n.tolist() for _, n in parts if len(n)])
         yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("lang"),
-                pa.array(buckets, pa.list_(pa.int32())),
-                pa.array(counts, pa.list_(pa.int32())),
-            ],
+            [batch.column("lang"), pa.array(buckets, many), pa.array(counts, many)],
             ["lang", "buckets", "counts"],
         )
 
@@ -141,8 +210,6 @@ def train(
     updates: int = 16_000,
     rate: float = 0.5,
     lost_share: float = 0.001,
-    highest_least: float = 0.5,
-    chance_times: float = 1.2,
     seed: int = 5,
 ) -> Model:
     """Learns from a bounded sample of rows (doc_id, text, lang).
@@ -150,25 +217,32 @@ def train(
     Every subword bucket has an embedding; a text is the mean of its subwords' embeddings, and
     a linear softmax tells its language. Both are trained by stochastic gradient descent, one
     text at a time and as many times as make `updates`, on four fifths of the sample. The last fifth sets the temperature that
-    makes scores honest, and the least score: the `lost_share` quantile of the scores of right
-    predictions, but at most `highest_least`, and `chance_times` what a guess would score, so
-    that mixed and short texts stay and only those as good as guessed are rejected. The sample has at most `rows` rows; of each the
+    makes scores honest. What is rejected isn't told by the score, which is high for some
+    language even if the text is in none, but by how familiar a text's subwords are in any
+    language, so that mixed texts stay (see `familiarity`). The sample has at most `rows` rows; of each the
     driver holds bucket counts, not the text. Without labelled rows the model knows no language.
     """
     ship(labelled.sparkSession)
     sample = training_sample(labelled, per_lang, rows)
     taken = sample.mapInArrow(
-        _histograms, "lang string, buckets array<int>, counts array<int>"
+        _histograms, "lang string, buckets array<array<int>>, counts array<array<int>>"
     ).collect()
-    taken = [
-        (r["lang"], np.array(r["buckets"], np.int64), np.array(r["counts"], np.float64))
+    parts = [
+        (
+            r["lang"],
+            [
+                (np.array(at, np.int64), np.array(n, np.float64))
+                for at, n in zip(r["buckets"], r["counts"], strict=True)
+            ],
+        )
         for r in taken
         if r["buckets"]
     ]
+    taken = [(lang, *whole) for lang, (whole, *_) in parts]
     taken.sort(key=lambda x: (x[0], len(x[1]), x[1].tobytes(), x[2].tobytes()))
     langs = tuple(sorted({lang for lang, _, _ in taken}))
     if not langs:
-        return Model((), np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
+        return Model((), np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, np.zeros(0), np.zeros(1))
     label = {lang: i for i, lang in enumerate(langs)}
     rng = np.random.default_rng(seed)
     rng.shuffle(taken)
@@ -200,20 +274,18 @@ def train(
     grid = np.geomspace(0.05, 5, 40)
     losses = [-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in grid]
     temperature = float(grid[int(np.argmin(losses))])
-    chance = softmax(logits / temperature)
-    right = chance.argmax(axis=1) == truth
-    sure = chance.max(axis=1)[right]
-    least = float(np.quantile(sure, lost_share)) if len(sure) else 0.0
-    least = min(least, highest_least, chance_times / len(langs))
-    return Model(langs, scores.astype(np.float32), bias, temperature, least)
+    familiar, bounds = familiarity(
+        len(langs), [(label[lang], rows) for lang, rows in parts], lost_share
+    )
+    return Model(langs, scores.astype(np.float32), bias, temperature, familiar, bounds)
 
 
 def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The kept columns of docs, then lang_pred, score (0 to 1) and rejected.
 
     Whole texts are read, with the text as the only input. Null texts and those without a
-    letter are `und` with score 0 and rejected, as are texts whose score is below the model's
-    least, which keep their best language. Kept columns with names of results are replaced.
+    letter are `und` with score 0 and rejected, as are texts whose subwords are strange to all
+    languages of the model, which keep their best language and its score. Kept columns with names of results are replaced.
     """
     own = ("lang_pred", "score", "rejected")
     keep = [c for c in keep if c not in own]
@@ -221,11 +293,7 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -
 
     def predict(batches):
         for batch in batches:
-            langs, score = shared.value.predict(batch.column("text"))
-            rejected = [
-                lang == UNKNOWN or s < shared.value.least
-                for lang, s in zip(langs, score.tolist(), strict=True)
-            ]
+            langs, score, rejected = shared.value.predict(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("row"),
