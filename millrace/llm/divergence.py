@@ -27,7 +27,6 @@ class Rules:
     """
 
     common_words: int = 24
-    longest_common: int = 5
     least_reference: int = 2000
     least_chars: int = 200
     farthest_chars: float = 0.30
@@ -150,11 +149,10 @@ def jensen_shannon(counts: Column, shares: Column) -> Column:
 def references(docs: DataFrame, rules: Rules) -> DataFrame:
     """(key, common, word_shares, char_shares): a row a language, and one named "" for all.
 
-    Every document counts, whole. Words are counted where they may be common, short ones, and
-    counts are added up before they are sent.
+    Every document counts, whole, with words of any length, and counts are added up before they
+    are sent.
     """
-    short = F.filter("words", lambda w: F.length(w) <= rules.longest_common)
-    counted = docs.select("lang", F.explode_outer(short).alias("word")).where("word IS NOT NULL")
+    counted = docs.select("lang", F.explode_outer("words").alias("word")).where("word IS NOT NULL")
     words = cut(counted.groupBy("lang", "word").agg(F.count("*").alias("n")), "common-words")
     totals = cut(
         docs.groupBy("lang").agg(
@@ -183,11 +181,15 @@ def references(docs: DataFrame, rules: Rules) -> DataFrame:
     )
     classes = [F.col(f"c{i}") for i in range(len(CLASSES))]
     rest = F.col("all_chars") - sum(classes[1:], classes[0])
+    none = F.array().cast("array<struct<place:int,word:string,n:bigint>>")
+    rows = totals.where("all_words > 0 AND all_chars > 0").join(common, "key", "left")
+    rows = rows.withColumn("common", F.coalesce("common", none))
     shares = F.transform("common.n", lambda n: n / F.col("all_words"))
     spent = F.aggregate("common.n", F.lit(0).cast("long"), lambda a, b: a + b)
-    return totals.where("all_words > 0 AND all_chars > 0").join(common, "key").select(
+    return rows.select(
         "key",
         F.col("common.word").alias("common"),
+        F.coalesce(F.array_max(F.transform("common.word", F.length)), F.lit(0)).alias("longest"),
         F.concat(shares, F.array(1 - spent / F.col("all_words"))).alias("word_shares"),
         F.transform(F.array(*classes, rest), lambda c: c / F.col("all_chars")).alias("char_shares"),
     )
@@ -219,9 +221,10 @@ def judge(
     rows = rows.join(F.broadcast(named) if small else named, F.col("wanted") == F.col("named"), "left")
     rows = rows.withColumn("key", F.coalesce("named", F.lit("")))
     rows = rows.join(F.broadcast(found) if small else found, "key", "left")
-    short = F.filter("words", lambda w: F.length(w) <= rules.longest_common)
+    # A word longer than all common ones needs no search among them.
+    likely = F.filter("words", lambda w: F.length(w) <= F.col("longest"))
     places = F.filter(
-        F.transform(short, lambda w: F.array_position("common", w)), lambda at: at > 0
+        F.transform(likely, lambda w: F.array_position("common", w)), lambda at: at > 0
     )
     rows = rows.withColumn("places", places)
     held = F.concat(
