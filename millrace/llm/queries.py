@@ -14,6 +14,7 @@ from millrace.llm import (
     jaccard,
     langid,
     line_dedup,
+    merkle,
     mixing,
     quotes,
     shards,
@@ -133,6 +134,13 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    lowered = F.translate("text", sql.UPPER, sql.LOWER)
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    changed = merkle.record(["doc_id", "source", "lang", "n_chars", lowered])
+    return merkle.prove(table(spark, folder, "documents"), changed=F.when(tampered, changed))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_normaliser": warc_normaliser,
     "op2_line_dedup": line_dedup_runs,
@@ -144,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_systematic_mixing": mixing_sources,
     "op9_decontamination": decontamination,
     "op10_jaccard_join": jaccard_join,
+    "op12_merkle_manifest": merkle_manifest,
 }
 
 SQL: dict[str, str] = {
@@ -152,4 +161,5 @@ SQL: dict[str, str] = {
     "op8_systematic_mixing": sql.MIXING,
     "op9_decontamination": sql.DECONTAMINATION,
     "op10_jaccard_join": sql.JACCARD,
+    "op12_merkle_manifest": sql.MERKLE,
 }

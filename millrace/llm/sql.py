@@ -150,3 +150,90 @@ LEFT JOIN (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_delet
            FROM g GROUP BY doc_id) n USING (doc_id)
 LEFT JOIN (SELECT doc_id, max(n) AS longest_run FROM runs GROUP BY doc_id) r USING (doc_id)
 LEFT JOIN kept USING (doc_id)"""
+
+
+def _field(column: str) -> str:
+    value = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+#: For each byte, what eight shifts of the reflected polynomial make of it.
+_CRC_TABLE = """crc_table AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, where crc_table is joined; null stays null."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    step = "xor(c >> 8, steps[(xor(c, b) & 255) + 1])"
+    crc = f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda c, b: {step}), 4294967295)"
+    return f"CASE WHEN {text} IS NOT NULL THEN {crc} END"
+
+
+def merkle(levels: int) -> str:
+    """The manifest of groups and of a forest that so many levels of runs of 16 suffice for.
+
+    All trees grow by one level at a time; one that is down to a node stays as it is. A leaf's
+    place at each level is `slot`, what it folds to `fold`, and its siblings are joined to `proof`.
+    """
+    steps = [
+        f"""
+n0 AS (
+    SELECT coalesce('s' || source, '') AS tree, {_leaf("text")} AS digest,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, {_leaf("text")}) - 1 AS pos
+    FROM documents),
+f0 AS (
+    SELECT doc_id, coalesce('s' || source, '') AS tree, {_leaf("text")} AS leaf,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, {_leaf("text")}) - 1 AS slot,
+           CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0
+                THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf("text")} END AS fold,
+           '' AS proof
+    FROM documents, crc_table)"""
+    ]
+    for i in range(2 * levels):
+        nodes = f"n{i}"
+        if i == levels:
+            nodes = "forest"
+            steps.append(
+                f"""
+forest AS (
+    SELECT '' AS tree, digest, tree AS name, row_number() OVER (ORDER BY tree) - 1 AS pos
+    FROM n{i}),
+entered AS (
+    SELECT f{i}.* EXCLUDE (tree, slot), '' AS tree, pos AS slot, digest AS subroot
+    FROM f{i} JOIN forest ON name = f{i}.tree)"""
+            )
+        folds = "entered" if i == levels else f"f{i}"
+        carried = "doc_id, leaf" + (", subroot" if i >= levels else "")
+        steps.append(
+            f"""
+c{i} AS (SELECT tree, count(*) AS size FROM {nodes} GROUP BY tree),
+n{i + 1} AS (
+    SELECT tree, CASE WHEN max(size) = 1 THEN max(digest)
+                      ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest,
+           pos // 16 AS pos
+    FROM {nodes} JOIN c{i} USING (tree) GROUP BY tree, pos // 16),
+f{i + 1} AS (
+    SELECT {carried}, f.tree, slot // 16 AS slot,
+           CASE WHEN max(size) = 1 THEN max(fold)
+                ELSE sha256(string_agg(CASE WHEN pos = slot THEN fold ELSE digest END, '' ORDER BY pos))
+           END AS fold,
+           max(proof) || coalesce(string_agg(digest, '' ORDER BY pos) FILTER (pos != slot), '') AS proof
+    FROM (SELECT *, row_number() OVER () AS row FROM {folds}) f
+    JOIN {nodes} n ON n.tree = f.tree AND n.pos // 16 = slot // 16 JOIN c{i} ON c{i}.tree = f.tree
+    GROUP BY row, {carried}, f.tree, slot)"""
+        )
+    last = 2 * levels
+    return f"""WITH {_CRC_TABLE},{",".join(steps)}
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, fold AS folded_root,
+       fold = digest AS verified
+FROM f{last}, n{last}"""
+
+
+#: 16 to the 4 leaves a source, and as many sources.
+MERKLE = merkle(4)
