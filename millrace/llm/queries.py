@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    centroids,
     decontam,
     divergence,
     jaccard,
@@ -141,6 +142,10 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.prove(table(spark, folder, "documents"), changed=F.when(tampered, changed))
 
 
+def centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings")).drop("n_checked")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_normaliser": warc_normaliser,
     "op2_line_dedup": line_dedup_runs,
@@ -153,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": decontamination,
     "op10_jaccard_join": jaccard_join,
     "op12_merkle_manifest": merkle_manifest,
+    "op13_ptolemaic_centroids": centroid_clustering,
 }
 
 SQL: dict[str, str] = {
@@ -162,4 +168,5 @@ SQL: dict[str, str] = {
     "op9_decontamination": sql.DECONTAMINATION,
     "op10_jaccard_join": sql.JACCARD,
     "op12_merkle_manifest": sql.MERKLE,
+    "op13_ptolemaic_centroids": sql.CENTROIDS,
 }

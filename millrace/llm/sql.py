@@ -237,3 +237,53 @@ FROM f{last}, n{last}"""
 
 #: 16 to the 4 leaves a source, and as many sources.
 MERKLE = merkle(4)
+
+
+def centroids(k: int, rounds: int) -> str:
+    """Exact assignments of all vectors to all centroids, round by round.
+
+    A floor is taken as an exact remainder off, since integer division rounds towards zero.
+    """
+    apart = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = [
+        f"""
+vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v,
+           row_number() OVER () AS row
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+k0 AS (
+    SELECT v AS c, row_number() OVER (ORDER BY h, v) - 1 AS cluster
+    FROM (SELECT v, sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h FROM vectors)
+    ORDER BY h, v LIMIT {k})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""
+a{i} AS (
+    SELECT row, first(vec_id) AS vec_id, first(v) AS v,
+           min((CAST({apart} AS BIGINT), cluster)) AS near
+    FROM vectors, k{i} GROUP BY row)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""
+s{i} AS (
+    SELECT cluster, place, sum(x)::BIGINT AS total, count(*) AS n
+    FROM (SELECT near[2] AS cluster, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{i})
+    GROUP BY cluster, place),
+k{i + 1} AS (
+    SELECT coalesce(m.c, k{i}.c) AS c, k{i}.cluster
+    FROM k{i} LEFT JOIN (
+        SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY place) AS c
+        FROM s{i} GROUP BY cluster) m USING (cluster))"""
+            )
+    return f"""WITH {",".join(steps)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, near[1] AS distance,
+       CAST(sum(near[1]) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(near[1]) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN k{rounds} ON cluster = near[2]"""
+
+
+CENTROIDS = centroids(40, 5)
