@@ -14,6 +14,7 @@ from millrace.llm import (
     divergence,
     jaccard,
     langid,
+    licences,
     line_dedup,
     merkle,
     mixing,
@@ -135,6 +136,10 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents"))
+
+
 def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     lowered = F.translate("text", sql.UPPER, sql.LOWER)
     tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
@@ -157,6 +162,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_systematic_mixing": mixing_sources,
     "op9_decontamination": decontamination,
     "op10_jaccard_join": jaccard_join,
+    "op11_license_scan": license_scan,
     "op12_merkle_manifest": merkle_manifest,
     "op13_ptolemaic_centroids": centroid_clustering,
 }
@@ -167,6 +173,7 @@ SQL: dict[str, str] = {
     "op8_systematic_mixing": sql.MIXING,
     "op9_decontamination": sql.DECONTAMINATION,
     "op10_jaccard_join": sql.JACCARD,
+    "op11_license_scan": sql.LICENSES,
     "op12_merkle_manifest": sql.MERKLE,
     "op13_ptolemaic_centroids": sql.CENTROIDS,
 }

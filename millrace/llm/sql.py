@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from millrace.llm import licences
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -287,3 +289,53 @@ FROM a{rounds} JOIN k{rounds} ON cluster = near[2]"""
 
 
 CENTROIDS = centroids(40, 5)
+
+_TEMPLATES = ", ".join(
+    f"({i}, '{t.label}', {t.exact}, {t.base}, '{t.text}')" for i, t in enumerate(licences.TEMPLATES)
+)
+
+LICENSES = rf"""
+WITH t AS (
+    SELECT *, len(w) AS size
+    FROM (SELECT id, label, exact, base, string_split(text, ' ') AS w
+          FROM (VALUES {_TEMPLATES}) x(id, label, exact, base, text))),
+tg AS (
+    SELECT id, size, label, exact, base, array_to_string(w[spot + 1:spot + 3], ' ') AS gram, spot
+    FROM (SELECT *, unnest(range(size - 2)) AS spot FROM t)),
+d AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all({lowered("text")}, '{ITEM_WORDS}') AS w
+    FROM documents),
+dg AS (
+    SELECT row, array_to_string(w[pos + 1:pos + 3], ' ') AS gram, pos
+    FROM (SELECT row, w, unnest(range(len(w) - 2)) AS pos FROM d)),
+votes AS (SELECT row, id, label, exact, base, size, pos - spot AS diagonal, spot
+          FROM dg JOIN tg USING (gram)),
+whole AS (
+    SELECT row, id, label, diagonal, base FROM votes WHERE exact
+    GROUP BY row, id, label, base, size, diagonal HAVING count(*) = size - 2),
+chains AS (
+    SELECT *, sum(far::INT) OVER (PARTITION BY row, id ORDER BY diagonal) AS chain
+    FROM (SELECT row, id, diagonal,
+                 coalesce(diagonal - lag(diagonal) OVER (PARTITION BY row, id ORDER BY diagonal) > 3, false)
+                   AS far
+          FROM (SELECT DISTINCT row, id, diagonal FROM votes WHERE NOT exact))),
+covers AS (
+    SELECT row, id, label, size, chain, min(diagonal + spot) AS first, max(diagonal + spot) + 2 AS last,
+           list_distinct(flatten(list([spot, spot + 1, spot + 2]))) AS covered
+    FROM votes JOIN chains USING (row, id, diagonal) GROUP BY ALL),
+scores AS (
+    SELECT row, label, len(covered) / greatest(size, last - first + 1) AS score FROM covers
+    UNION ALL SELECT row, label, 1.0::DOUBLE FROM whole),
+b AS (
+    SELECT row, count(*) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+    FROM whole WHERE base GROUP BY row),
+s AS (
+    SELECT row, max(score) AS score,
+           string_agg(DISTINCT label, ',' ORDER BY label) FILTER (score >= 0.8) AS labels
+    FROM scores GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0) AS score
+FROM d LEFT JOIN b USING (row) LEFT JOIN s USING (row)"""
