@@ -163,65 +163,70 @@ def contamination(
     blocks = max(1, -(-size // block_bytes))
     block_of = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
 
+    # A kept text is sent once; only kept columns are named by their place, as any name may clash.
     found = docs.select(
-        F.struct(*keep).alias("row"),
-        "text",
+        *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)],
+        *(() if "text" in keep else (F.col("text").alias("text"),)),
         F.array().cast("array<int>").alias("hit"),
         F.array().cast("array<string>").alias("items"),
     )
+    text = f"k{keep.index('text')}" if "text" in keep else "text"
+    width = len(keep)
     for block in range(blocks):
         rows = items.where(block_of == block).collect()
         matcher = spark.sparkContext.broadcast(
             Matcher([(r["item"], r["text"]) for r in rows], window)
         )
         if block < blocks - 1:
-            found = cut(_pass(found, matcher), "decontam-block")
-    schema = T.StructType([found.schema["row"]])
+            found = cut(_pass(found, matcher, text), "decontam-block")
+    schema = T.StructType(found.schema.fields[:width])
     for name in own[:3]:
         schema = schema.add(name, "long")
-    result = found.mapInArrow(_last_pass(matcher), schema.add("items_sha256", "string"))
-    return result.select("row.*", *own[:-1], (F.col("n_hit") > 0).alias("contaminated"))
+    result = found.mapInArrow(_last_pass(matcher, text, width), schema.add("items_sha256", "string"))
+    kept = [F.col(f"k{i}").alias(c) for i, c in enumerate(keep)]
+    return result.select(*kept, *own[:-1], (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def _merged(batch: pa.RecordBatch, matcher: Matcher) -> Iterator[tuple[int, np.ndarray, set[str]]]:
+def _merged(
+    batch: pa.RecordBatch, matcher: Matcher, text: str
+) -> Iterator[tuple[int, np.ndarray, set[str]]]:
     columns = batch.column("hit").to_pylist(), batch.column("items").to_pylist()
     earlier = zip(*columns, strict=True)
     for (n, places, items), (hit, known) in zip(
-        matcher.rows(batch.column("text")), earlier, strict=True
+        matcher.rows(batch.column(text)), earlier, strict=True
     ):
         if hit:
             places = np.union1d(places, np.array(hit))
         yield n, places, items.union(known)
 
 
-def _pass(found: DataFrame, matcher) -> DataFrame:
+def _pass(found: DataFrame, matcher, text: str) -> DataFrame:
     def search(batches):
         for batch in batches:
-            rows = list(_merged(batch, matcher.value))
+            rows = list(_merged(batch, matcher.value, text))
             hits = pa.array([p.astype(np.int32) for _, p, _ in rows], pa.list_(pa.int32()))
             items = pa.array([sorted(x) for _, _, x in rows], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("text"), hits, items],
-                ["row", "text", "hit", "items"],
+                [*batch.columns[:-2], hits, items], batch.schema.names
             )
 
     return found.mapInArrow(search, found.schema)
 
 
-def _last_pass(matcher):
+def _last_pass(matcher, text: str, width: int):
     def search(batches):
         for batch in batches:
-            rows = list(_merged(batch, matcher.value))
+            rows = list(_merged(batch, matcher.value, text))
             digest = [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for *_, x in rows]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row"),
+                    *batch.columns[:width],
                     pa.array([n for n, *_ in rows], pa.int64()),
                     pa.array([len(p) for _, p, _ in rows], pa.int64()),
                     pa.array([len(x) for *_, x in rows], pa.int64()),
                     pa.array(digest, pa.string()),
                 ],
-                ["row", "n_words", "n_hit", "n_items", "items_sha256"],
+                [*batch.schema.names[:width], "n_words", "n_hit", "n_items", "items_sha256"],
             )
 
     return search

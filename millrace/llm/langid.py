@@ -21,6 +21,8 @@ SEPARATORS = bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 INSIDE, VALUE = table_of(SEPARATORS)
 _PLAIN = np.where(INSIDE, VALUE, 32).astype(np.uint8)
 _LETTER = re.compile(r"[^\W\d_]")
+#: Text that is worked on at once; its subwords take some sixty bytes for each of its own.
+PART_BYTES = 1 << 18
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (3, 4)
@@ -82,11 +84,12 @@ class Model:
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The best language of each text, its score, and whether the text is rejected."""
         rows = len(column)
-        langs, score, rejected = [UNKNOWN] * rows, np.zeros(rows), np.ones(rows, bool)
+        langs, score = [UNKNOWN] * rows, np.zeros(rows)
         if not self.langs:
-            return langs, score, rejected
+            return langs, score, np.zeros(rows, bool)
+        rejected = np.ones(rows, bool)
         data, at = texts(column)
-        for lo, hi in slices(at):
+        for lo, hi in slices(at, PART_BYTES):
             part, offsets = data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
             total = np.zeros((hi - lo, len(self.langs)))
             count, known = np.zeros(hi - lo), np.zeros(hi - lo)
@@ -162,17 +165,26 @@ def familiarity(
 
 
 def training_sample(labelled: DataFrame, per_lang: int, rows: int) -> DataFrame:
-    """At most per_lang rows of a language and `rows` rows in all, chosen by a hash of doc_id."""
-    order = [F.xxhash64(F.lit(5), "doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    ranked = labelled.where("lang IS NOT NULL AND text IS NOT NULL").withColumn(
-        "rank", F.row_number().over(W.partitionBy("lang").orderBy(*order))
+    """At most per_lang rows of a language and `rows` rows in all, chosen by a hash of doc_id.
+
+    Rows are ranked by keys alone, with a hash in place of the text; rows alike in all count
+    once. The keys taken, `rows` at most, are sent to the texts, so that only theirs are moved.
+    """
+    named = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        "lang", "text", "doc_id", F.xxhash64("text").alias("content")
     )
-    return (
-        ranked.where(F.col("rank") <= per_lang)
-        .orderBy("rank", "lang")
+    order = [F.xxhash64(F.lit(5), "doc_id"), F.col("doc_id"), F.col("content")]
+    taken = (
+        named.withColumn("rank", F.dense_rank().over(W.partitionBy("lang").orderBy(*order)))
+        .where(F.col("rank") <= per_lang)
+        .select("rank", F.col("lang").alias("l"), F.col("doc_id").alias("d"), F.col("content").alias("c"))
+        .distinct()
+        .orderBy("rank", "l")
         .limit(rows)
-        .select("lang", "text")
     )
+    same = (F.col("lang") == F.col("l")) & F.col("doc_id").eqNullSafe(F.col("d"))
+    found = named.join(F.broadcast(taken), same & (F.col("content") == F.col("c")), "left_semi")
+    return found.groupBy("lang", "doc_id", "content").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def histogram(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -221,6 +233,7 @@ def train(
     language even if the text is in none, but by how familiar a text's subwords are in any
     language, so that mixed texts stay (see `familiarity`). The sample has at most `rows` rows; of each the
     driver holds bucket counts, not the text. Without labelled rows the model knows no language.
+    Below 50 rows there is no last fifth: the temperature is set on the rows learned from.
     """
     ship(labelled.sparkSession)
     sample = training_sample(labelled, per_lang, rows)
@@ -285,7 +298,12 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -
 
     Whole texts are read, with the text as the only input. Null texts and those without a
     letter are `und` with score 0 and rejected, as are texts whose subwords are strange to all
-    languages of the model, which keep their best language and its score. Kept columns with names of results are replaced.
+    languages of the model, which keep their best language and its score. A model that knows no
+    language can't tell: all texts are `und` with score 0, and none is rejected. Repeated rows
+    are judged alike, an empty table gives no rows, and kept columns with names of results are
+    replaced.
+
+    A text is sent to a task once, also if it is a kept column, and handed back as it came.
     """
     own = ("lang_pred", "score", "rejected")
     keep = [c for c in keep if c not in own]
@@ -296,14 +314,16 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -
             langs, score, rejected = shared.value.predict(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("row"),
+                    *[batch.column(name) for name in keep],
                     pa.array(langs, pa.string()),
                     pa.array(score, pa.float64()),
                     pa.array(rejected, pa.bool_()),
                 ],
-                ["row", *own],
+                [*keep, *own],
             )
 
-    rows = docs.select(F.struct(*keep).alias("row"), "text")
-    schema = T.StructType([rows.schema["row"]]).add(own[0], "string").add(own[1], "double")
-    return rows.mapInArrow(predict, schema.add(own[2], "boolean")).select("row.*", *own)
+    rows = docs.select(*keep, *(() if "text" in keep else ("text",)))
+    schema = T.StructType([rows.schema[name] for name in keep])
+    for name, kind in zip(own, ("string", "double", "boolean"), strict=True):
+        schema = schema.add(name, kind)
+    return rows.mapInArrow(predict, schema)
