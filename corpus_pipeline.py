@@ -15,7 +15,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the model trained on them is sure of."""
+    """Documents whose language the model trained on them is sure of; all if none is labelled."""
     docs = docs.select(*COLUMNS)
     labelled = docs.where(~F.coalesce(F.expr(HELD_OUT), F.lit(False)))
     model = langid.train(labelled.select("doc_id", "text", "lang"))
