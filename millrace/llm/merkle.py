@@ -143,16 +143,26 @@ def steps_of(runs: DataFrame) -> DataFrame:
     )
 
 
-def descend(levels: list[DataFrame], roots: DataFrame) -> DataFrame:
+def nothing() -> Column:
+    return F.array().cast(f"array<{STEP}>")
+
+
+def descend(levels: list[DataFrame], roots: DataFrame | None = None) -> DataFrame:
     """(tree, run, path, subroot) of the lowest runs, from roots (tree, path, subroot).
 
+    Without roots, paths end at the trees' own and there is no subroot.
+
     The path of a run goes on above it, nearest level first. What a tree's root has is handed
     down from run to run, so nothing is joined on the tree alone, which may hold most rows.
     """
     paths = None
     for level in range(len(levels) - 1, -1, -1):
         runs = levels[level]
-        ends = runs.where("n = 1").select("tree", "run").join(roots, "tree")
+        ends = runs.where("n = 1").select("tree", "run")
+        if roots is None:
+            ends = ends.withColumns({"path": nothing(), "subroot": F.lit(None).cast("string")})
+        else:
+            ends = ends.join(roots, "tree")
         if paths is None:
             paths = ends
             continue
@@ -280,15 +290,13 @@ def prove(
     root = subroots(forest, upper).first()
     if root is None:
         root = ("", "")
-    nothing = F.array().cast(f"array<{STEP}>")
     if upper:
-        top = tops.limit(1).select(F.lit("").alias("tree"), nothing.alias("path"), F.lit("").alias("subroot"))
-        paths = descend(upper, top).withColumnRenamed("run", "parent").drop("subroot")
+        paths = descend(upper).select(F.col("run").alias("parent"), "path")
         slots = steps_of(upper[0]).withColumnRenamed("run", "parent")
-        slots = slots.join(paths, ["tree", "parent"]).join(forest.select("pos", "name"), "pos")
+        slots = slots.join(paths, "parent").join(forest.select("pos", "name"), "pos")
         path, subroot = F.concat(F.array("step"), "path"), F.col("digest")
     else:
-        slots, path, subroot = forest, nothing, F.col("digest")
+        slots, path, subroot = forest, nothing(), F.col("digest")
     roots = slots.select(F.col("name").alias("tree"), path.alias("path"), subroot.alias("subroot"))
     roots = cut(roots, "merkle-roots")
     lone = leaves.where("n = 1").select(
