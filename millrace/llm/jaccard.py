@@ -128,7 +128,8 @@ def _wide(data: bytes) -> np.ndarray:
 
 
 def described(docs: DataFrame, levels) -> DataFrame:
-    """doc_id, n (set size), mark (fingerprint) and the rarest shingles of each text.
+    """doc_id, content (hash of the text), n (set size), mark (fingerprint) and the rarest
+    shingles of each text.
 
     The shingles stand only at the first text of a set in a batch of rows, which keeps large
     groups of copies from filling the lists.
@@ -153,24 +154,19 @@ def described(docs: DataFrame, levels) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("content"),
                     pa.array(n, pa.int64()),
                     pa.array(marks, pa.int64()),
                     pa.array(rare, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "mark", "rare"],
+                ["doc_id", "content", "n", "mark", "rare"],
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        describe, f"doc_id {kind}, n long, mark long, rare array<long>"
+    return docs.select("doc_id", "content", "text").mapInArrow(
+        describe, "doc_id long, content long, n long, mark long, rare array<long>"
     )
 
 
-def near(low: str, high: str):
-    """Sizes, the smaller first, that a link can join."""
-    return F.col(low) * 5 >= F.col(high) * 4
-
-
 def searches(described: DataFrame, classes: DataFrame) -> DataFrame:
     """(search, side, node, n, copies): which classes meet in which search.
 
@@ -355,14 +351,21 @@ def _linked(overlap: int, a: int, b: int) -> bool:
     return 100 * overlap >= 80 * (a + b - overlap)
 
 
-def links(sought: DataFrame, docs: DataFrame) -> DataFrame:
+def links(sought: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b, linked) for each class a that has links in a search.
 
     b is the first class that a reaches by links of that search, and linked counts the
-    documents that a links to there. No link is found in two searches.
+    documents that a links to there. No link is found in two searches. The text of a class is
+    that of one document, told by doc_id and content, as a doc_id may repeat with other texts.
     """
-    text = docs.select(F.col("doc_id").alias("node"), "text")
-    rows = sought.join(text, "node")
+    unnamed = docs.where("doc_id IS NULL").groupBy("content").agg(F.min("text").alias("text"))
+    texts = docs.where("doc_id IS NOT NULL").select("doc_id", "content", "text").union(
+        unnamed.select(F.lit(None).cast("long"), "content", "text")
+    )
+    sought = sought.join(classes.select("node", "lead", F.col("content").alias("held")), "node")
+    rows = sought.join(
+        texts, F.col("lead").eqNullSafe(F.col("doc_id")) & (F.col("held") == F.col("content"))
+    ).select("search", "side", "node", "n", "copies", "text")
     rows = rows.repartition("search").sortWithinPartitions("search", "node")
 
     def run(batches):
@@ -377,7 +380,7 @@ def links(sought: DataFrame, docs: DataFrame) -> DataFrame:
                 if name != current:
                     out += _links_of(held)
                     held, current = [], name
-                # A doc_id of several rows may bring other texts, or the same again.
+                # A repeated row brings the same text again.
                 if len(found) == n and not (held and held[-1][1] == node):
                     held.append((side, node, copies, found))
             yield _batch(out)
@@ -413,46 +416,75 @@ def _batch(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     )
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links for each row of docs (doc_id, text).
-
-    Words are runs of other than ASCII white space, A-Z in lower case; a set holds the distinct
-    runs of five words, or the whole text if it has fewer. A text without words, or null, has
-    an empty set, and its component is its own doc_id. component_id is the smallest doc_id
-    reachable by links; n_links counts the other rows a row links to. Rows without a doc_id get the component of the texts they equal, null
-    if none has an id. Repeated rows give repeated results. doc_id must be a whole number.
-    Other columns don't matter.
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, content, n, mark) and the classes of equal sets that they are in.
 
-    Shingles and sets are compared by 64-bit hashes.
+    A class (n, mark) has a `node` of its own, made of both, whatever the doc_ids of its rows;
+    `lead` is the smallest of them, and with `content` tells one of its texts. `group` is the
+    class's component, `least` the smallest doc_id in it, and `linked` counts the rows of other
+    classes that it links to.
     """
     spark = ship(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("content"))
     levels = spark.sparkContext.broadcast(rarity(docs))
     rows = cut(described(docs, levels), "jaccard-sets")
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content"))
+    classes = (
+        rows.where("n > 0").groupBy("n", "mark").agg(lead.alias("first"), F.count("*").alias("copies"))
+    )
     classes = cut(
-        rows.where("n > 0")
-        .groupBy("n", "mark")
-        .agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")),
+        classes.select(
+            "n",
+            "mark",
+            F.xxhash64("n", "mark").alias("node"),
+            F.col("first.doc_id").alias("lead"),
+            F.col("first.content").alias("content"),
+            "copies",
+        ),
         "jaccard-classes",
     )
-    sought = searches(rows, classes.where("node IS NOT NULL"))
-    found = cut(links(sought, docs), "jaccard-links")
-    component = components(found.select("a", "b"))
+    found = cut(links(searches(rows, classes), classes, docs), "jaccard-links")
+    reached = components(found.select("a", "b")).withColumnRenamed("component", "group")
     linked = found.groupBy(F.col("a").alias("node")).agg(F.sum("linked").alias("linked"))
-    named = (
-        classes.join(component, "node", "left")
+    least = classes.join(reached, "node").groupBy("group").agg(F.min("lead").alias("least"))
+    joined = (
+        classes.join(reached.join(least, "group"), "node", "left")
         .join(linked, "node", "left")
-        .select(
-            "n",
-            "mark",
-            F.coalesce("component", "node").alias("component_id"),
-            (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        .withColumns(
+            {
+                "least": F.coalesce("least", "lead"),
+                "group": F.coalesce("group", "node"),
+                "linked": F.coalesce("linked", F.lit(0)),
+            }
         )
     )
+    return rows.drop("rare"), joined
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links for each row of docs (doc_id, text).
+
+    Words are runs of other than ASCII white space, A-Z in lower case; a set holds the distinct
+    runs of five words, or the whole text if it has fewer. A text without words, or null, has
+    an empty set, and its component is its own doc_id. component_id is the smallest doc_id
+    reachable by links; n_links counts the other rows a row links to. Rows without a doc_id
+    link like others, and theirs is null if none they reach has an id. Repeated rows give
+    repeated results, and a doc_id that repeats with another text is another document. doc_id
+    must be a whole number. Other columns don't matter.
+
+    Shingles and sets are compared by 64-bit hashes.
+    """
+    rows, classes = _grouped(docs)
+    named = classes.select(
+        "n",
+        "mark",
+        F.col("least").alias("component_id"),
+        (F.col("linked") + F.col("copies") - 1).alias("n_links"),
+    )
     return rows.select("doc_id", "n", "mark").join(named, ["n", "mark"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", F.when(F.col("n") == 0, F.col("doc_id"))).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
@@ -460,16 +492,25 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 def one_per_group(docs: DataFrame) -> DataFrame:
     """The rows of docs (doc_id, text, any other columns) that stand for their group.
 
-    Of each component the row with the smallest doc_id stays, one of them if it is repeated.
-    Rows without a doc_id can't be named by a component and all stay.
+    Of each component one row stays: that with the smallest doc_id, then the smallest hash of
+    its text, one of them if it is repeated. Rows without a doc_id come last and are told apart
+    by their texts. Texts without words link with nothing and all stay.
     """
-    groups = jaccard_components(docs.select("doc_id", "text"))
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    order = W.partitionBy("row.doc_id").orderBy(F.xxhash64("row.text"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id")
+    _, classes = _grouped(docs.select("doc_id", "text"))
+    first = F.min(F.struct(F.col("lead").isNull().alias("unnamed"), "lead", "content")).alias("first")
+    stay = classes.groupBy("group").agg(first).select("first.lead", "first.content")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64("text").alias("hash"),
+        F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"),
+    )
+    same = F.col("id").eqNullSafe(F.col("lead")) & (F.col("hash") == F.col("content"))
+    order = W.partitionBy("id", "hash").orderBy(F.xxhash64("row"))
     named = (
-        rows.join(first, "doc_id", "left_semi")
+        rows.where("worded")
+        .join(stay, same, "left_semi")
         .withColumn("place", F.row_number().over(order))
         .where("place = 1")
     )
-    return named.select("row.*").union(docs.where("doc_id IS NULL"))
+    return named.select("row.*").union(rows.where("NOT worded").select("row.*"))

@@ -115,7 +115,8 @@ def test_jaccard(docs, none):
     assert found[5] == [(29_996, 5)]
     assert jaccard.jaccard_components(none).count() == 0
     stay = [r["doc_id"] for r in jaccard.one_per_group(docs).collect()]
-    assert sorted(map(str, stay)) == ["1", "3", "4", "5", "6", "8", "None", "None"]
+    # Of the rows without an id one has the text of document 1 and goes with it.
+    assert sorted(map(str, stay)) == ["1", "3", "4", "5", "6", "8", "None"]
 
 
 def test_language_id(docs, none):
