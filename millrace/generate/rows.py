@@ -9,6 +9,8 @@ from millrace.operators.layout import session_partitions
 
 # Fixed value: rows one generating step handles.
 ROWS_PER_CHUNK = 250_000
+#: Chunks that are listed at a time, so that no list grows with a day's rows.
+CHUNKS_PER_BLOCK = 4096
 
 
 def ids(spark: SparkSession, first: int, count: int, partitions: int) -> DataFrame:
@@ -26,17 +28,25 @@ def expand_rows(
 ) -> DataFrame:
     """Each input row becomes ``rows`` output rows numbered from ``first``.
 
-    The numbers are cut into chunks, the chunks are spread over the cluster and
+    The numbers are cut into blocks of chunks, the chunks are spread over the cluster and
     each task counts through its own. The partition count is explicit because the
     chunk rows are tiny and AQE would put them all into one task.
     """
     parts = partitions or session_partitions(volumes)
     size = F.lit(chunk).cast("long")
     last_chunk = F.call_function("div", rows.cast("long") - 1, size)
+    block = F.lit(CHUNKS_PER_BLOCK).cast("long")
+    last_block = F.call_function("div", last_chunk, block)
+    first_chunk = F.col("_block") * block
     chunks = (
         volumes.withColumn("_rows", rows.cast("long"))
         .where(F.col("_rows") > 0)
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last_block)))
+        .withColumn(
+            "_chunk",
+            F.explode(F.sequence(first_chunk, F.least(first_chunk + block - 1, last_chunk))),
+        )
+        .drop("_block")
         .repartition(parts)
     )
     offset = F.lit(first).cast("long")

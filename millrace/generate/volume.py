@@ -125,8 +125,17 @@ def plan_audit(planned: DataFrame, generated: DataFrame) -> DataFrame:
 
 
 def volume_check(planned: DataFrame, events: DataFrame) -> DataFrame:
-    """Actual against planned rows per planned date; other dates are ignored."""
-    actual = events.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
+    """Actual against planned rows per planned date; other dates are ignored.
+
+    The planned dates, one row a day, go to the events before these are counted. Where the
+    events are stored by date and the plan is filtered, Spark prunes the other dates' files.
+    """
+    days = F.broadcast(planned.select("event_date"))
+    actual = (
+        events.join(days, "event_date", "left_semi")
+        .groupBy("event_date")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
     return planned.join(actual, "event_date", "left").select(
         "event_date",
         "expected_rows",

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import StructType
 
 from millrace.functions.ratios import gc_share_pct, mebibytes, per_million
 from millrace.operators.stagemetrics import run_metrics
+from millrace.sources.artifacts import Artifact, read_artifact, write_artifact
 
 RATES = {
     "runtime_per_million_rows": "executor_run_time_ms",
@@ -144,6 +146,33 @@ def metrics_history(metrics: DataFrame) -> DataFrame:
     ).orderBy("processing_date")
 
 
+def append_run(history: DataFrame, store: Artifact) -> None:
+    """Adds runs to the stored history, one partition each. A run that is written again
+    replaces itself, and all others stay, so a failed append is simply repeated."""
+    by_run = Artifact(store.path, store.format, "overwrite", store.options, ("run_id",))
+    write_artifact(history, by_run, replace_partitions=True)
+
+
+def stored_history(
+    spark: SparkSession, store: Artifact, schema: StructType, view: str = "metrics_history"
+) -> DataFrame:
+    """The stored history, also as a temporary view for SQL."""
+    history = read_artifact(spark, store, schema)
+    history.createOrReplaceTempView(view)
+    return history
+
+
+def stored_latest_run(spark: SparkSession, view: str = "metrics_history") -> DataFrame:
+    """Rows of the newest run in the view, by date. The run is found from two columns; its
+    name is a filter on the partitions, so the other runs' files are not opened."""
+    return spark.sql(
+        f"""
+        SELECT * FROM {view}
+        WHERE run_id = (SELECT max_by(run_id, struct(created_at, run_id)) FROM {view})
+        ORDER BY processing_date"""
+    )
+
+
 def latest_run(history: DataFrame) -> DataFrame:
     """One row: the run with the newest record (largest id on a tie)."""
     newest = F.max(F.struct("created_at", "run_id")).alias("newest")

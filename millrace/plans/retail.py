@@ -25,6 +25,7 @@ from millrace.functions.labels import (
 )
 from millrace.functions.money import from_cents, mean_amount, to_cents
 from millrace.operators import aggregates as agg
+from millrace.operators.distinct import distinct_rollup, within
 from millrace.operators.layout import Exchange, as_planned
 from millrace.operators.ranking import revenue_rank, sales_by_amount
 from millrace.operators.star import add_category, add_star, add_vendor_region, lookup, product_keys
@@ -402,6 +403,41 @@ def _average_per_sale() -> Column:
     return mean_amount(F.col("amount_cents"), F.col("sale_count")).alias("average_sale_amount")
 
 
+# Fixed value: the grains of the distinct counts, from the finest to the whole table.
+DISTINCT_GRAINS = {
+    "region_month": ("vendor_region", "customer_region", "sale_month"),
+    "regions": ("vendor_region", "customer_region"),
+    "all": (),
+}
+
+
+def star_distincts(tables: Tables, share: float = 0.05) -> DataFrame:
+    """True numbers of distinct customers and products per grain, where the two-level
+    summaries add up per-bucket counts, and whether the merged sketches come within a share
+    of them. Customers are keyed by their own range of ids, not by a bucket of sales, so
+    counts of ranges add up; coarser grains merge bitmaps and read no sale again."""
+    sales = tables["sales"]
+    fact = sales.select(
+        *[F.col(name).cast("long").alias(name) for name in ("vendor_id", "product_id", "customer_id")],
+        month_of(F.col("sale_date").cast("date")).alias("sale_month"),
+    )
+    star = add_star(fact, tables["vendors"], tables["products"], tables["customers"])
+    counts = distinct_rollup(star, DISTINCT_GRAINS, ("customer_id", "product_id"))
+    near = [
+        within(F.col(f"{name}_estimate"), F.col(f"{name}_count"), share)
+        for name in ("customer_id", "product_id")
+    ]
+    return counts.select(
+        "grain",
+        "vendor_region",
+        "customer_region",
+        _formatted_month("sale_year_month"),
+        F.col("customer_id_count").alias("customer_count"),
+        F.col("product_id_count").alias("product_count"),
+        (near[0] & near[1]).alias("within_5_pct"),
+    )
+
+
 def ranked_star_summary(
     tables: Tables,
     buckets: int = 256,

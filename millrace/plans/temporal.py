@@ -19,7 +19,6 @@ from millrace.generate.volume import (
     volume_check,
 )
 from millrace.operators.aggregates import average_ticket
-from millrace.operators.profile import has_rows
 from millrace.sources.artifacts import (
     Artifact,
     drop_partitions,
@@ -163,8 +162,10 @@ def generate_source(
     kept = [] if replace else present
     existing = spark.createDataFrame([(day,) for day in kept], "event_date date")
     todo = missing_dates(planned, existing)
-    if has_rows(todo):
-        events = generate_events(todo, plan.seed, dimensions, partitions=plan.partitions)
+    # Tasks for the rows that are missing, not for the whole plan.
+    partitions = todo.agg(F.sum("partitions")).first()[0]
+    if partitions:
+        events = generate_events(todo, plan.seed, dimensions, partitions=partitions)
         target = Artifact(source.path, source.format, "overwrite", source.options, ("event_date",))
         write_artifact(events, target, max_records_per_file, replace_partitions=True)
     written = read_artifact(spark, source, EVENT_SCHEMA)

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.queries import events, generation, metrics, quality, retail
+from millrace.queries import events, generation, metrics, quality, retail, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
-_GROUPS = (retail, quality, events, metrics, generation)
+_GROUPS = (retail, quality, events, metrics, generation, stored)
 
 
 def all_queries() -> dict[str, Query]:

@@ -81,6 +81,10 @@ def star_summary_sketch(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def star_distincts(spark: SparkSession, folder: str) -> DataFrame:
+    return retail.star_distincts(retail_tables(spark, folder))
+
+
 def fingerprint_workload(spark: SparkSession, folder: str) -> DataFrame:
     return retail.fingerprint_workload(
         retail_tables(spark, folder), STAR_BUCKETS, distinct=retail.EXACT, algorithm=MD5
@@ -178,6 +182,7 @@ QUERIES = {
         star_summary_ranked,
         star_summary_approximate,
         star_summary_sketch,
+        star_distincts,
         fingerprint_workload,
         business_output,
         business_output_candidate,
@@ -297,6 +302,14 @@ SELECT * EXCLUDE (fingerprint_bucket_count),
        CAST(dense_rank() OVER (PARTITION BY vendor_region, customer_region, sale_year_month
             ORDER BY gross_sales_amount DESC, category_id) AS INTEGER) AS revenue_rank_in_region
 FROM summed""",
+    "star_distincts": f"""WITH {STAR}
+SELECT CASE WHEN grouping(vendor_region) = 1 THEN 'all' WHEN grouping(month) = 1 THEN 'regions'
+            ELSE 'region_month' END AS grain,
+       vendor_region, customer_region, month AS sale_year_month,
+       count(DISTINCT customer_id) AS customer_count, count(DISTINCT product_id) AS product_count,
+       true AS within_5_pct
+FROM star
+GROUP BY GROUPING SETS ((vendor_region, customer_region, month), (vendor_region, customer_region), ())""",
     "fingerprint_workload": f"{_TWO_LEVEL} SELECT * EXCLUDE (payload_bytes_observed) FROM summed",
     "business_output": f"WITH {STAR} {_BUSINESS}",
     "business_output_candidate": f"WITH {STAR} {_BUSINESS}",

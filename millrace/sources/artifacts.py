@@ -56,9 +56,14 @@ def write_artifact(
     artifact: Artifact,
     max_records_per_file: int | None = None,
     replace_partitions: bool = False,
+    rebalance: bool = False,
 ) -> None:
     """``replace_partitions`` overwrites only the partitions met in ``df``, so a
-    rerun of the same dates does not double them."""
+    rerun of the same dates does not double them. ``rebalance`` moves rows to their
+    partitions first: small ones share a task, and a large one is split into tasks, and
+    so files, of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``."""
+    if rebalance:
+        df = df.hint("rebalance", *artifact.partition_by)
     writer = df.write.format(artifact.format).mode(artifact.mode).options(**artifact.options)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

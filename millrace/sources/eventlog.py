@@ -11,6 +11,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 # Fixed value: the fields used, out of the many an event carries.
 EVENT_SCHEMA = """
@@ -37,6 +38,7 @@ EVENT_SCHEMA = """
 TASK_END = "SparkListenerTaskEnd"
 STAGE_COMPLETED = "SparkListenerStageCompleted"
 JOB_START = "SparkListenerJobStart"
+APPLICATION_START = "SparkListenerApplicationStart"
 
 
 def read_event_logs(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +50,7 @@ def read_event_logs(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .json(path)
         .withColumn("log", F.when(folder != "", folder).otherwise(F.col("_metadata.file_name")))
-        .where(F.col("Event").isin(TASK_END, STAGE_COMPLETED, JOB_START))
+        .where(F.col("Event").isin(TASK_END, STAGE_COMPLETED, JOB_START, APPLICATION_START))
     )
 
 
@@ -64,19 +66,11 @@ def _field(*path: str) -> Column:
     return F.col(".".join(f"`{name}`" for name in path))
 
 
-def task_metrics(events: DataFrame) -> DataFrame:
-    """One row per finished task."""
-    metrics, info = "Task Metrics", "Task Info"
+def _task_counters() -> dict[str, Column]:
+    """The counters of a finished task by their names."""
+    metrics = "Task Metrics"
     read, wrote = "Shuffle Read Metrics", "Shuffle Write Metrics"
-    columns = {
-        "stageId": _field("Stage ID"),
-        "stageAttempt": _field("Stage Attempt ID"),
-        "taskId": _field(info, "Task ID"),
-        "index": _field(info, "Index"),
-        "executorId": _field(info, "Executor ID"),
-        "host": _field(info, "Host"),
-        "successful": ~(_field(info, "Failed") | _field(info, "Killed")),
-        "duration": _field(info, "Finish Time") - _field(info, "Launch Time"),
+    return {
         "executorRunTime": _field(metrics, "Executor Run Time"),
         "jvmGCTime": _field(metrics, "JVM GC Time"),
         "recordsRead": _field(metrics, "Input Metrics", "Records Read"),
@@ -89,8 +83,23 @@ def task_metrics(events: DataFrame) -> DataFrame:
         "memoryBytesSpilled": _field(metrics, "Memory Bytes Spilled"),
         "diskBytesSpilled": _field(metrics, "Disk Bytes Spilled"),
     }
+
+
+def task_metrics(events: DataFrame) -> DataFrame:
+    """One row per finished task."""
+    info = "Task Info"
+    columns = {
+        "stageId": _field("Stage ID"),
+        "stageAttempt": _field("Stage Attempt ID"),
+        "taskId": _field(info, "Task ID"),
+        "index": _field(info, "Index"),
+        "executorId": _field(info, "Executor ID"),
+        "host": _field(info, "Host"),
+        "successful": ~(_field(info, "Failed") | _field(info, "Killed")),
+        "duration": _field(info, "Finish Time") - _field(info, "Launch Time"),
+    }
     return events.where(F.col("Event") == TASK_END).select(
-        "log", *[value.alias(name) for name, value in columns.items()]
+        "log", *[value.alias(name) for name, value in (columns | _task_counters()).items()]
     )
 
 
@@ -115,39 +124,77 @@ def tasks_by_step(events: DataFrame) -> DataFrame:
     return task_metrics(events).join(stage_steps(events), ["log", "stageId"], "left")
 
 
-def stage_aggregate(events: DataFrame) -> DataFrame:
-    """Run-level counters per log and step: stages and their tasks as completed, times
-    and bytes summed over the finished tasks. Tasks are summed per stage before
-    they meet the steps."""
-    sums = [
-        "executorRunTime",
-        "jvmGCTime",
-        "recordsRead",
-        "bytesRead",
-        "recordsWritten",
-        "shuffleTotalBytesRead",
-        "shuffleBytesWritten",
-        "memoryBytesSpilled",
-        "diskBytesSpilled",
-    ]
-    worked = (
-        task_metrics(events)
-        .groupBy("log", "stageId")
-        .agg(*[F.sum(name).alias(name) for name in sums])
+# Fixed value: the counters that are summed over a stage's finished tasks.
+SUMMED = (
+    "executorRunTime",
+    "jvmGCTime",
+    "recordsRead",
+    "bytesRead",
+    "recordsWritten",
+    "shuffleTotalBytesRead",
+    "shuffleBytesWritten",
+    "memoryBytesSpilled",
+    "diskBytesSpilled",
+)
+
+
+def stage_states(events: DataFrame) -> DataFrame:
+    """One row per application and stage, from one scan of the events: the first job that
+    lists it (``job``), how often it completed, its tasks, and the sums over finished tasks.
+
+    Events of four kinds fold into the same state. A job start becomes a row for each stage
+    it lists; the start of the application, which alone has its id, is a row without a stage
+    and hands the id to the log's other rows once they are summed up. Logs without that event
+    keep the log's name. Tasks are added up before anything is shuffled, so a stage of very
+    many tasks is one row a reading task.
+    """
+
+    def of(kind: str, value: Column) -> Column:
+        return F.when(F.col("Event") == kind, value)
+
+    job = F.struct(
+        _field("Job ID").alias("jobId"),
+        _field("Properties", "spark.jobGroup.id").alias("step"),
+        _field("Properties", "spark.job.description").alias("description"),
+    )
+    stages = F.coalesce(
+        of(TASK_END, F.array("Stage ID")),
+        of(STAGE_COMPLETED, F.array(_field("Stage Info", "Stage ID"))),
+        of(JOB_START, F.col("`Stage IDs`")),
+        of(APPLICATION_START, F.array(F.lit(None).cast("long"))),
+    )
+    counters = _task_counters()
+    flat = events.select(
+        "log",
+        "Event",
+        F.explode(stages).alias("stageId"),
+        of(JOB_START, job).alias("job"),
+        of(STAGE_COMPLETED, _field("Stage Info", "Number of Tasks")).alias("tasks"),
+        of(APPLICATION_START, _field("App ID")).alias("id"),
+        *[of(TASK_END, counters[name]).alias(name) for name in SUMMED],
     )
-    completed = (
-        events.where(F.col("Event") == STAGE_COMPLETED)
-        .groupBy("log", _field("Stage Info", "Stage ID").alias("stageId"))
-        .agg(
-            F.count(F.lit(1)).alias("numStages"),
-            F.sum(_field("Stage Info", "Number of Tasks")).alias("numTasks"),
-        )
+    states = flat.groupBy("log", "stageId").agg(
+        F.min("job").alias("job"),
+        F.count_if(F.col("Event") == STAGE_COMPLETED).alias("numStages"),
+        F.sum("tasks").alias("numTasks"),
+        F.max("id").alias("id"),
+        *[F.sum(name).alias(name) for name in SUMMED],
     )
-    per_stage = completed.join(worked, ["log", "stageId"], "left").join(
-        stage_steps(events), ["log", "stageId"], "left"
+    same_log = Window.partitionBy("log")
+    return (
+        states.withColumn("application", F.coalesce(F.max("id").over(same_log), "log"))
+        .where(F.col("stageId").isNotNull())
+        .drop("id")
     )
-    return per_stage.groupBy("log", "step").agg(
-        *[F.sum(name).alias(name) for name in ("numStages", "numTasks", *sums)]
+
+
+def stage_aggregate(events: DataFrame) -> DataFrame:
+    """Run-level counters per application and step: completed stages and their tasks, times
+    and bytes summed over the finished tasks. ``log`` is the application's id, or the log's
+    name where the log does not tell it."""
+    done = stage_states(events).where(F.col("numStages") > 0)
+    return done.groupBy(F.col("application").alias("log"), F.col("job.step").alias("step")).agg(
+        *[F.sum(name).alias(name) for name in ("numStages", "numTasks", *SUMMED)]
     )
 
 
