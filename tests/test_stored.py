@@ -219,7 +219,7 @@ def test_byte_sizes(text, size):
 
 
 def test_scratch_folders_are_shared_or_refused(spark, monkeypatch):
-    monkeypatch.setattr(type(spark.sparkContext), "master", "spark://cluster:1")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster:1")
     key = "spark.checkpoint.dir"
     before = spark.conf.get(key, None)
     spark.conf.unset(key)
