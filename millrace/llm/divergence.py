@@ -13,6 +13,8 @@ from millrace.llm.store import cut
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Classes of characters; what is in none of them is the last class.
 CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", r"[\x20\x09-\x0D]+", r"[^\x00-\x7F]+")
+#: The class that is between words.
+SPACE = 3
 #: References fewer than this are sent to all tasks; each is a few kilobytes.
 BROADCAST_LANGS = 1024
 
@@ -95,13 +97,18 @@ def repeated_words(words: Column, n: Column) -> Column:
     return F.coalesce(let(windows, counted), F.lit(0).cast("long"))
 
 
+def held_of(text: Column, kind: str) -> Column:
+    """How many characters of a class a text has."""
+    return F.length(text) - F.length(F.regexp_replace(text, kind, ""))
+
+
 def split_up(docs: DataFrame) -> DataFrame:
     """docs (with text), and its words, lines with a word, and counts of characters."""
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(
         F.split(text, "\n", -1), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]"))
     )
-    chars = [F.length(text) - F.length(F.regexp_replace(text, c, "")) for c in CLASSES]
+    chars = [held_of(text, c) for c in CLASSES]
     parts = F.struct(
         F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)).alias("words"),
         F.array(*chars).cast("array<long>").alias("chars"),
@@ -121,7 +128,7 @@ def base_rules(rows: DataFrame) -> DataFrame:
     rows = rows.withColumns(
         {
             "n_words": F.size("words").cast("long"),
-            "word_chars": F.col("n_chars_all") - F.get("chars", F.lit(3)),
+            "word_chars": F.col("n_chars_all") - F.get("chars", F.lit(SPACE)),
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
             "n_repeat_words": repeated_words(F.col("words"), F.size("words")),
         }
@@ -150,18 +157,25 @@ def references(docs: DataFrame, rules: Rules) -> DataFrame:
     """(key, common, word_shares, char_shares): a row a language, and one named "" for all.
 
     Every document counts, whole, with words of any length, and counts are added up before they
-    are sent.
+    are sent. Characters are counted from the words' counts, as all but white space is in words.
     """
-    counted = docs.select("lang", F.explode_outer("words").alias("word")).where("word IS NOT NULL")
+    counted = docs.select(
+        "lang", F.explode(F.regexp_extract_all("text", F.lit(WORDS), F.lit(0))).alias("word")
+    )
     words = cut(counted.groupBy("lang", "word").agg(F.count("*").alias("n")), "common-words")
-    totals = cut(
-        docs.groupBy("lang").agg(
-            F.sum(F.size("words")).alias("all_words"),
-            *[F.sum(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES))],
-            F.sum("n_chars_all").alias("all_chars"),
-        ),
-        "language-totals",
+    held = [F.when(F.lit(i != SPACE), held_of(F.col("word"), c)) for i, c in enumerate(CLASSES)]
+    inside = words.groupBy("lang").agg(
+        F.sum("n").alias("all_words"),
+        *[F.sum(F.col("n") * F.coalesce(h, F.lit(0))).alias(f"c{i}") for i, h in enumerate(held)],
+        F.sum(F.col("n") * F.length("word")).alias("in_words"),
+        F.lit(0).cast("long").alias("all_chars"),
     )
+    lengths = docs.groupBy("lang").agg(F.sum(F.length("text").cast("long")).alias("all_chars"))
+    both = inside.unionByName(lengths, allowMissingColumns=True)
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in inside.columns if c != "lang"]
+    totals = both.groupBy("lang").agg(*sums)
+    totals = totals.withColumn(f"c{SPACE}", F.col("all_chars") - F.col("in_words")).drop("in_words")
+    totals = cut(totals, "language-totals")
     known = totals.where(F.col("lang").isNotNull() & (F.col("all_words") >= rules.least_reference))
     sums = [F.sum(c).alias(c) for c in totals.columns if c != "lang"]
     totals = known.withColumn("key", F.concat(F.lit("l"), "lang")).drop("lang").unionByName(
@@ -212,7 +226,7 @@ def judge(
     ).split()
     keep = [c for c in keep if c not in own]
     split = split_up(docs.select(F.struct(*keep).alias("row"), "text", "lang"))
-    found = cut(references(split, rules), "references")
+    found = cut(references(docs, rules), "references")
     rows = base_rules(split)
     small = found.count() <= BROADCAST_LANGS
     named = found.select(F.col("key").alias("named")).where("named != ''")
