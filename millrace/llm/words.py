@@ -1,4 +1,4 @@
-"""Words and hashes of whole Arrow text columns, a few megabytes at a time, in numpy.
+"""Words and hashes of whole Arrow text columns, half a megabyte at a time, in numpy.
 
 Hashes are taken from running sums over the bytes, so that no word becomes a Python object.
 """
@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
@@ -36,11 +36,11 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(at: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Row ranges of about SLICE_BYTES; a longer text is a range of its own."""
+def slices(at: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about so many bytes; a longer text is a range of its own."""
     first, rows = 0, len(at) - 1
     while first < rows:
-        last = int(np.searchsorted(at, at[first] + SLICE_BYTES, "right")) - 1
+        last = int(np.searchsorted(at, at[first] + most, "right")) - 1
         last = min(rows, max(last, first + 1))
         yield first, last
         first = last
