@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.store import cut
 
-WORDS = r"[^\x20\x09-\x0D]+"
+#: What is between words.
+BETWEEN = r"[\x20\x09-\x0D]+"
 #: Classes of characters; what is in none of them is the last class.
 CLASSES = ("[a-z]+", "[A-Z]+", "[0-9]+", r"[\x20\x09-\x0D]+", r"[^\x00-\x7F]+")
 #: The class that is between words.
@@ -102,6 +103,10 @@ def held_of(text: Column, kind: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, kind, ""))
 
 
+def words_of(text: Column) -> Column:
+    return F.array_remove(F.split(text, BETWEEN), "")
+
+
 def split_up(docs: DataFrame) -> DataFrame:
     """docs (with text), and its words, lines with a word, and counts of characters."""
     text = F.coalesce("text", F.lit(""))
@@ -110,7 +115,7 @@ def split_up(docs: DataFrame) -> DataFrame:
     )
     chars = [held_of(text, c) for c in CLASSES]
     parts = F.struct(
-        F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)).alias("words"),
+        words_of(text).alias("words"),
         F.array(*chars).cast("array<long>").alias("chars"),
         F.length(text).cast("long").alias("n_chars_all"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -159,9 +164,7 @@ def references(docs: DataFrame, rules: Rules) -> DataFrame:
     Every document counts, whole, with words of any length, and counts are added up before they
     are sent. Characters are counted from the words' counts, as all but white space is in words.
     """
-    counted = docs.select(
-        "lang", F.explode(F.regexp_extract_all("text", F.lit(WORDS), F.lit(0))).alias("word")
-    )
+    counted = docs.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
     words = cut(counted.groupBy("lang", "word").agg(F.count("*").alias("n")), "common-words")
     held = [F.when(F.lit(i != SPACE), held_of(F.col("word"), c)) for i, c in enumerate(CLASSES)]
     inside = words.groupBy("lang").agg(

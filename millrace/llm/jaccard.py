@@ -498,18 +498,23 @@ def one_per_group(docs: DataFrame) -> DataFrame:
     """
     _, classes = _grouped(docs.select("doc_id", "text"))
     first = F.min(F.struct(F.col("lead").isNull().alias("unnamed"), "lead", "content")).alias("first")
-    stay = classes.groupBy("group").agg(first).select("first.lead", "first.content")
+    stay = classes.groupBy("group").agg(first).select("first.unnamed", "first.lead", "first.content")
+    # The same plain columns are keys of the join and of the window, so texts move once.
+    keys = ("id", "unnamed", "hash")
+    stay = stay.select(
+        F.coalesce("lead", F.lit(0)).alias("id"), "unnamed", F.col("content").alias("hash")
+    )
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),
-        F.col("doc_id").cast("long").alias("id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+        F.col("doc_id").isNull().alias("unnamed"),
         F.xxhash64("text").alias("hash"),
         F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"),
     )
-    same = F.col("id").eqNullSafe(F.col("lead")) & (F.col("hash") == F.col("content"))
-    order = W.partitionBy("id", "hash").orderBy(F.xxhash64("row"))
+    order = W.partitionBy(*keys).orderBy(F.xxhash64("row"))
     named = (
         rows.where("worded")
-        .join(stay, same, "left_semi")
+        .join(stay, [*keys], "left_semi")
         .withColumn("place", F.row_number().over(order))
         .where("place = 1")
     )

@@ -201,13 +201,14 @@ def openings(text: str) -> list[str]:
 
 
 def _histograms(batches):
-    many = pa.list_(pa.list_(pa.int32()))
+    """Histograms as bytes, which the driver reads in place and need no object a bucket."""
+    many = pa.list_(pa.binary())
     for batch in batches:
         buckets, counts = [], []
         for text in batch.column("text").to_pylist():
             parts = [histogram(part) for part in [text, *openings(text)]]
-            buckets.append([at.tolist() for at, _ in parts if len(at)])
-            counts.append([n.tolist() for _, n in parts if len(n)])
+            buckets.append([at.astype(np.int32).tobytes() for at, _ in parts if len(at)])
+            counts.append([n.astype(np.int32).tobytes() for _, n in parts if len(n)])
         yield pa.RecordBatch.from_arrays(
             [batch.column("lang"), pa.array(buckets, many), pa.array(counts, many)],
             ["lang", "buckets", "counts"],
@@ -238,13 +239,13 @@ def train(
     ship(labelled.sparkSession)
     sample = training_sample(labelled, per_lang, rows)
     taken = sample.mapInArrow(
-        _histograms, "lang string, buckets array<array<int>>, counts array<array<int>>"
+        _histograms, "lang string, buckets array<binary>, counts array<binary>"
     ).collect()
     parts = [
         (
             r["lang"],
             [
-                (np.array(at, np.int64), np.array(n, np.float64))
+                (np.frombuffer(at, np.int32), np.frombuffer(n, np.int32))
                 for at, n in zip(r["buckets"], r["counts"], strict=True)
             ],
         )
