@@ -4,6 +4,7 @@ import json
 import random
 from collections import defaultdict
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,13 +219,17 @@ def test_byte_sizes(text, size):
     assert files.byte_size(text) == size
 
 
-def test_scratch_folders_are_shared_or_refused(spark, monkeypatch):
-    monkeypatch.setattr(spark.sparkContext, "master", "spark://cluster:1")
+def session(master, settings):
+    conf = SimpleNamespace(get=settings.get, set=settings.__setitem__)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_scratch_folders_are_shared_or_refused():
     key = "spark.checkpoint.dir"
-    before = spark.conf.get(key, None)
-    spark.conf.unset(key)
-    with pytest.raises(ValueError, match="share"):
-        scratch_folder(spark, "x")
-    spark.conf.set(key, "hdfs://shared/checkpoints/")
-    assert scratch_folder(spark, "x").startswith("hdfs://shared/checkpoints/x-")
-    spark.conf.set(key, before) if before else spark.conf.unset(key)
+    for master in ("spark://cluster:1", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="share"):
+            scratch_folder(session(master, {}), "x")
+        kept = session(master, {key: "hdfs://shared/checkpoints/"})
+        assert scratch_folder(kept, "x").startswith("hdfs://shared/checkpoints/x-")
+    local = {}
+    assert scratch_folder(session("local[4]", local), "x").startswith(local[key])
