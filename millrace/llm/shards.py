@@ -14,6 +14,11 @@ BUCKET_ROWS = 1024
 OFFSETS_SENT = 200_000
 #: Buckets whose offsets are summed up in one task.
 BUCKETS_TOGETHER = 4096
+#: Rows alike are numbered and scattered one by one from this many on, or from a share of a
+#: bucket's bytes.
+MANY_ALIKE = 64
+#: Raw bytes of rows that a task of the first pass puts into buckets.
+TASK_BYTES = 32 << 20
 
 
 def fisher_yates(size: Column, seed: Column) -> Column:
@@ -37,6 +42,26 @@ def fisher_yates(size: Column, seed: Column) -> Column:
     return F.aggregate(steps, places, swapped)
 
 
+def numbered(rows: DataFrame, alike: DataFrame) -> DataFrame:
+    """rows (document, h) with `copy`: 0, but 0 to n - 1 for n equal rows with an h in alike.
+
+    alike (h) holds the hashes of rows that many share. Such rows are counted by value, in each
+    task first, and blocks of MANY_ALIKE numbers are dealt out before they become rows again,
+    so that no task makes all copies of a row.
+    """
+    if alike.count() <= OFFSETS_SENT:
+        alike = F.broadcast(alike)
+    single = rows.join(alike, "h", "left_anti").withColumn("copy", F.lit(0).cast("long"))
+    counted = rows.join(alike, "h", "left_semi").groupBy("h", "document")
+    counted = counted.agg(F.count("*").alias("n"))
+    last = F.floor((F.col("n") - 1) / MANY_ALIKE)
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    start = F.col("block") * MANY_ALIKE
+    end = F.least(start + MANY_ALIKE, F.col("n")) - 1
+    copies = blocks.repartition("h", "block").withColumn("copy", F.explode(F.sequence(start, end)))
+    return single.unionByName(copies.select(*rows.columns, "copy"))
+
+
 def shuffle(
     docs: DataFrame,
     shards: int = 40,
@@ -46,28 +71,46 @@ def shuffle(
 ) -> DataFrame:
     """The columns of docs (with doc_id and text), and shard and slot of each row.
 
-    First pass: each row goes to a bucket by a seeded hash of doc_id and text, as many buckets
-    as keep one within memory, and the buckets are written. So copies of a text, rows of a
-    source and rows without a doc_id are scattered alike. Second pass: each bucket is read,
-    put in the order of its rows and Fisher-Yates shuffled with draws seeded by the bucket. The
-    buckets one after the other are the new order; its row p goes to shard p mod shards, slot
-    p div shards. Row counts of shards differ by one at most, and slots have no gap.
+    First pass: each row goes to a bucket by a seeded hash of its columns, as many buckets as
+    keep one within memory, and the buckets are written. So copies of a text, rows of a source
+    and rows without a doc_id are scattered alike. Rows with the same hash are counted
+    first; where they are many (MANY_ALIKE, or an eighth of a bucket's bytes), their number
+    among equal rows is hashed too, so that they spread over all buckets. Second pass: each bucket is read, put in the order of its rows and Fisher-Yates shuffled with draws
+    seeded by the bucket. The buckets one after the other are the new order; its row p goes to
+    shard p mod shards, slot p div shards. Row counts of shards differ by one at most, and slots
+    have no gap.
 
     The result depends on the rows, the seed and the bucket sizes only. Null texts and ids are
-    ordinary values. Only rows alike in doc_id and text share a bucket for certain; which of
-    them comes first doesn't matter unless other columns differ. A text larger than a bucket
-    has the bucket to itself, more or less. Columns named shard or slot are replaced.
+    ordinary values, no rows give no rows. Only rows alike in all columns, and few of them,
+    share a bucket for certain. A text larger than a bucket has the bucket to itself, more or
+    less. Columns named shard or slot are replaced; others may have any name, but no maps.
     """
     docs = docs.drop("shard", "slot")
-    total = docs.agg(
-        F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")
-    ).first()
-    buckets = max(1, -(-total["n"] // bucket_rows), -(-(total["b"] or 0) // bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(buckets))
-    row = F.struct("doc_id", F.xxhash64("text"), F.struct(*[F.col(c) for c in docs.columns]))
+    names = [f"`{c}`" for c in docs.columns]
+    keyed = docs.select(
+        F.struct(*names).alias("document"),
+        F.xxhash64(*names).alias("h"),
+    )
+    size = F.coalesce(F.octet_length("document.text"), F.lit(0)).cast("long")
+    counts = cut(
+        keyed.groupBy("h").agg(F.count("*").alias("n"), F.sum(size).alias("b")),
+        "shuffle-counts",
+    )
+    total = counts.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
+    n, held = total["n"] or 0, total["b"] or 0
+    buckets = max(1, -(-n // bucket_rows), -(-held // bucket_bytes))
+    many = (F.col("n") >= MANY_ALIKE) | ((F.col("n") > 1) & (F.col("b") > bucket_bytes // 8))
+    alike = counts.where(many).select("h")
+    if alike.isEmpty():
+        rows = keyed.withColumn("copy", F.lit(0).cast("long"))
+    else:
+        rows = numbered(keyed, alike)
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-held // TASK_BYTES))
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "h", "copy"), F.lit(buckets))
+    row = F.struct("document.doc_id", F.xxhash64("document.text"), "document")
     scattered = (
-        docs.select(bucket.alias("bucket"), row.alias("row"))
-        .repartition("bucket")
+        rows.select(bucket.alias("bucket"), row.alias("row"))
+        .repartition(min(tasks, buckets), "bucket")
         .groupBy("bucket")
         .agg(F.sort_array(F.collect_list("row")).alias("rows"))
     )
@@ -90,7 +133,7 @@ def shuffle(
         .withColumn("order", fisher_yates(F.col("n"), F.xxhash64(F.lit(seed), "bucket")))
         .select("first", "rows", F.posexplode("order").alias("place", "from"))
     )
-    document = F.get(F.col("rows"), F.col("from"))["col3"]
+    document = F.get(F.col("rows"), F.col("from"))["document"]
     position = F.col("first") + F.col("place")
     return mixed.select(document.alias("document"), position.alias("position")).select(
         "document.*",

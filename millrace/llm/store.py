@@ -28,10 +28,14 @@ def ship(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name below spark.checkpoint.dir.
 
-    Only a session without that setting, as in tests, gets a local folder.
+    Only a local session without that setting, as in tests, gets a local folder; executors
+    elsewhere could not see one, so a cluster without the setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or "cluster" in master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

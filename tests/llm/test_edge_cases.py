@@ -20,7 +20,7 @@ from millrace.llm import (
     token_files,
     warc,
 )
-from millrace.llm.store import shared_folder
+from millrace.llm.store import cut, shared_folder
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, shard int"
 SENTENCE = "the quick brown fox jumps over the lazy dog near the old river bank today"
@@ -81,6 +81,42 @@ def test_sharding(docs, none):
     assert shards.shuffle(none).count() == 0
 
 
+def test_sharding_spreads_rows_alike(spark, monkeypatch):
+    alike = spark.range(20_000).select(
+        F.lit(None).cast("long").alias("doc_id"),
+        F.lit("same").alias("text"),
+        F.lit("a").alias("copy"),
+        F.lit(None).cast("string").alias("h"),
+    )
+    # Same hash, as hashes pass over nulls, but other rows.
+    swapped = alike.limit(300).withColumns({"copy": F.lit(None).cast("string"), "h": F.lit("a")})
+    other = spark.range(500).select(
+        F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("b").alias("copy"), F.lit("c").alias("h")
+    )
+    docs = alike.union(swapped).union(other)
+    written = []
+    monkeypatch.setattr(shards, "cut", lambda df, name: written.append(cut(df, name)) or written[-1])
+    out = shards.shuffle(docs, shards=7).collect()
+    sizes = [r["n"] for r in written[-1].collect()]
+    assert len(sizes) == 21 and max(sizes) < 1300
+    assert Counter(tuple(r)[:4] for r in out) == Counter(map(tuple, docs.collect()))
+    places = sorted(r["slot"] * 7 + r["shard"] for r in out)
+    assert places == list(range(20_800))
+    again = shards.shuffle(docs.repartition(9), shards=7).collect()
+    assert Counter(map(tuple, out)) == Counter(map(tuple, again))
+
+
+def test_shards_are_written_in_slot_order(spark, docs, tmp_path):
+    shuffled = cut(shards.shuffle(docs, shards=3, bucket_rows=3), "shuffled")
+    shards.write_shards(shuffled, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    columns = ["doc_id", "text", "shard", "slot"]
+    assert rows(back.select(*columns)) == rows(shuffled.select(*columns))
+    for file in (tmp_path / "shards").rglob("*.parquet"):
+        slots = [r["slot"] for r in spark.read.parquet(str(file)).collect()]
+        assert slots == sorted(slots)
+
+
 def test_fisher_yates_gives_every_permutation(spark):
     df = spark.range(1200).select(shards.fisher_yates(F.lit(3), "id").alias("p"))
     counts = Counter(tuple(r["p"]) for r in df.collect())
