@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from millrace.functions.ratios import sentinel_ratio, skew_wording
+from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.ranking import top_n
 
 # The metrics that are summarised, in report order.
@@ -48,6 +49,7 @@ HIGH_END_METRIC = "shuffleTotalBytesRead"
 MIN_STAGE_TASKS = 4
 TOP_N = 5
 PERCENTILE_ACCURACY = 10000
+EXACT_QUANTILES = {"p25": 250, "median": 500, "p75": 750, "p95": 950}
 
 
 def high_end_metric(tasks: DataFrame) -> str:
@@ -204,6 +206,44 @@ def metric_summary(tasks: DataFrame, run: list[str]) -> DataFrame:
     )
 
 
+def exact_metric_summary(tasks: DataFrame, run: list[str]) -> DataFrame:
+    """``metric_summary`` for stages of any size and number, with exact quantiles.
+
+    Every stage has its rows: ``eligible`` is false for those too small to be judged. Quantiles
+    are over known values and null where there is none; extremes count unknown as no work.
+    """
+    metrics = present_columns(tasks, SUMMARY_METRICS)
+    pairs = F.array(
+        *[
+            F.struct(F.lit(name).alias("metric"), F.col(name).cast("long").alias("value"))
+            for name in metrics
+        ]
+    )
+    values = tasks.select(*run, "stageId", F.inline(pairs))
+    keys = [*run, "stageId", "metric"]
+    summary = values.groupBy(F.struct(*keys).alias("_key")).agg(
+        F.count(F.lit(1)).alias("taskCount"),
+        F.min(known("value")).alias("min"),
+        F.max(known("value")).alias("max"),
+        F.count_if(is_empty("value")).alias("zeroTaskCount"),
+    )
+    quantiles = exact_quantiles(values, keys, "value", EXACT_QUANTILES).select(
+        F.struct(*keys).alias("_key"),
+        *[F.col(name).cast("double").alias(name) for name in EXACT_QUANTILES],
+    )
+    return summary.join(quantiles, "_key", "left").select(
+        "_key.*",
+        "taskCount",
+        (F.col("taskCount") >= MIN_STAGE_TASKS).alias("eligible"),
+        "min",
+        *EXACT_QUANTILES,
+        "max",
+        "zeroTaskCount",
+        sentinel_ratio(F.col("median"), F.col("min")).alias("medianToMin"),
+        sentinel_ratio(F.col("max"), F.col("p75")).alias("maxToP75"),
+    )
+
+
 def _outliers(tasks: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
     shown = present_columns(tasks, OUTLIER_COLUMNS)
     ties = [F.asc(name) for name in ("stageId", "index") if name in shown]

@@ -27,6 +27,7 @@ from millrace.functions.money import from_cents, mean_amount, to_cents
 from millrace.operators import aggregates as agg
 from millrace.operators.distinct import distinct_rollup, within
 from millrace.operators.layout import Exchange, as_planned
+from millrace.operators.quantiles import exact_quantiles
 from millrace.operators.ranking import revenue_rank, sales_by_amount
 from millrace.operators.star import add_category, add_star, add_vendor_region, lookup, product_keys
 
@@ -243,6 +244,14 @@ def vendor_summary(tables: Tables, exchange: Exchange = as_planned, salts: int =
     return _vendor_summary(merged)
 
 
+def vendor_amount_quantiles(tables: Tables) -> DataFrame:
+    """Exact median, 95 % and 99 % sale amount of each vendor with a sale of known amount."""
+    fact = tables["sales"].select("vendor_id", amount_cents())
+    names = {"median_amount": 500, "p95_amount": 950, "p99_amount": 990}
+    found = exact_quantiles(fact, ["vendor_id"], "amount_cents", names)
+    return found.select("vendor_id", *[from_cents(F.col(name)).alias(name) for name in names])
+
+
 def vendor_summary_copartitioned(tables: Tables, partitions: int | None = None) -> DataFrame:
     """The skew study: both sides moved by vendor, joined raw by a shuffle join, then
     aggregated. One task receives every row of a hot vendor."""

@@ -67,6 +67,10 @@ def task_metric_summary(spark: SparkSession, folder: str) -> DataFrame:
     return taskstats.metric_summary(task_metrics(spark, folder), RUN)
 
 
+def task_metric_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    return taskstats.exact_metric_summary(task_metrics(spark, folder), RUN)
+
+
 def task_outliers_slow(spark: SparkSession, folder: str) -> DataFrame:
     return taskstats.slowest_tasks(task_metrics(spark, folder), RUN)
 
@@ -281,6 +285,7 @@ QUERIES = {
         task_skew_stage_by_duration,
         empty_partition_stage,
         task_metric_summary,
+        task_metric_quantiles,
         task_outliers_slow,
         task_outliers_high,
         task_outliers_low,
@@ -421,6 +426,12 @@ FROM {source} GROUP BY 1, 2"""
     )
 
 
+_EXACT_ROWS = f"""SELECT r.*, r."taskCount" >= 4 AS eligible, q.p95 FROM ({_metric_rows('tasks')}) r JOIN (
+    SELECT run_id, "stageId", metric, CAST(quantile_disc(value, 0.95) AS DOUBLE) AS p95
+    FROM (UNPIVOT (SELECT run_id, "stageId", {', '.join(f'CAST("{m}" AS BIGINT) AS "{m}"' for m in taskstats.SUMMARY_METRICS)}
+                   FROM tasks)
+          ON {', '.join(f'"{m}"' for m in taskstats.SUMMARY_METRICS)} INTO NAME metric VALUE value)
+    GROUP BY ALL) q USING (run_id, "stageId", metric)"""
 _SUMMARY_RATIOS = f"""SELECT *, {ratio('median', 'min')} AS "medianToMin",
     {ratio('max', 'p75')} AS "maxToP75" FROM rows_per_metric"""
 _TASK_COLUMNS = "run_id, " + ", ".join(f'"{name}"' for name in taskstats.OUTLIER_COLUMNS)
@@ -669,6 +680,7 @@ SQL = {
     "task_skew_stage_by_duration": f"{_skewed('duration')} SELECT * FROM chosen",
     "empty_partition_stage": f"{_STARVED} SELECT * FROM chosen",
     "task_metric_summary": f"WITH {TASKS}, rows_per_metric AS ({_metric_rows('tasks')}) {_SUMMARY_RATIOS}",
+    "task_metric_quantiles": f"WITH {TASKS}, rows_per_metric AS ({_EXACT_ROWS}) {_SUMMARY_RATIOS}",
     "task_outliers_slow": f"WITH {TASKS} "
     + _outliers(
         "run_id",

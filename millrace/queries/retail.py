@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.hashing import MD5
 from millrace.operators import budget, layout
 from millrace.plans import retail
-from millrace.queries.sql import STAR, bigint, md5_mod, mean_money, money, total
+from millrace.queries.sql import SALES, STAR, bigint, md5_mod, mean_money, money, total
 from millrace.sources.tables import line_tables, read_table, retail_tables
 
 BUCKETS = 48
@@ -45,6 +45,11 @@ def vendor_summary(spark: SparkSession, folder: str) -> DataFrame:
     return retail.vendor_summary(line_tables(spark, folder))
 
 
+def vendor_amount_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Median and high quantiles of a vendor's sales, however many one of them has."""
+    return retail.vendor_amount_quantiles(line_tables(spark, folder))
+
+
 def vendor_summary_salted(spark: SparkSession, folder: str) -> DataFrame:
     exchange = layout.salted(
         "vendor_id", hot=F.lit(True), spread_by=F.col("sale_id"), salts=8
@@ -176,6 +181,7 @@ QUERIES = {
         payload_drill_wide,
         vendor_summary,
         vendor_summary_salted,
+        vendor_amount_quantiles,
         vendor_summary_copartitioned,
         bucket_summary,
         bucket_summary_overpartitioned,
@@ -294,6 +300,11 @@ SQL = {
     "payload_drill_wide": _DRILL,
     "vendor_summary": _VENDOR,
     "vendor_summary_salted": _VENDOR,
+    "vendor_amount_quantiles": f"""WITH {SALES}
+SELECT vendor_id, {money('quantile_disc(cents, 0.5)')} AS median_amount,
+       {money('quantile_disc(cents, 0.95)')} AS p95_amount,
+       {money('quantile_disc(cents, 0.99)')} AS p99_amount
+FROM sales WHERE cents IS NOT NULL GROUP BY 1""",
     "vendor_summary_copartitioned": _VENDOR,
     "bucket_summary": _bucket_sql(BUCKETS),
     "bucket_summary_overpartitioned": _bucket_sql(3),
