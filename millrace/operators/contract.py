@@ -1,19 +1,21 @@
 """Data contract over a stage-metrics table: ten rules in three layers.
 
 The table is reduced once to counts per uniqueness key. Rule counts, duplicate keys
-and the sample keys all come from that one shuffle.
+and the sample keys all come from that one shuffle. A table that is about to be written is
+judged while it is written, see `write_checked`.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.functions.labels import any_of
 from millrace.operators.ranking import top_n
 from millrace.operators.stagemetrics import OPTIONAL_METRICS
+from millrace.sources.artifacts import Artifact, read_artifact, write_artifact
 
 SCHEMA = "SCHEMA"
 SEMANTIC = "SEMANTIC"
@@ -304,16 +306,77 @@ def contract_results(
     """One row per rule. A rule fails when its count is above zero, whatever its
     severity. Samples are the first five failing keys in key order."""
     findings = _findings(df, contract)
-    bad_rows = {name: f.bad_row for name, f in findings.items() if f.bad_row is not None}
-    key = [name for name in contract.uniqueness_key if name in df.columns]
-    unique_checked = not findings[UNIQUENESS].missing
-    per_key = _per_key(df, key, bad_rows)
-    counted = {*bad_rows, UNIQUENESS} if unique_checked else set(bad_rows)
-    results = _counts(per_key, bad_rows).select(
-        F.inline(_statements(contract, findings, counted))
+    bad_rows = _bad_rows(findings)
+    per_key = _per_key(df, _present_key(df, contract), bad_rows)
+    counts = _counts(per_key, bad_rows)
+    return _rule_rows(
+        contract, findings, per_key, counts, bad_rows, (validation_run_id, source_path, created_at)
+    )
+
+
+def write_checked(
+    df: DataFrame,
+    target: Artifact,
+    contract: Contract = Contract(),
+    validation_run_id: str = "",
+    source_path: str | None = None,
+    created_at: str | None = None,
+) -> DataFrame:
+    """Writes df and returns the rows of `contract_results` for it; `df` is worked out once.
+
+    Bad rows are counted by an observation of the rows on their way to the files, in the tasks
+    that write them, so a task that is run again counts once. Whether keys repeat is read from
+    the key columns of the written table, and its other columns only for the sample keys of
+    rules that failed. A table without rows passes the value rules.
+
+    The target holds this table alone: appending is refused, as the rules would be judged over
+    rows that were not observed.
+    """
+    if target.mode == "append":
+        raise ValueError("a checked table is written alone; append it after it passed")
+    findings = _findings(df, contract)
+    bad_rows = _bad_rows(findings)
+    seen = Observation()
+    rows = F.count(F.lit(1)).alias("_rows")
+    marks = [F.count_if(condition).alias(name) for name, condition in bad_rows.items()]
+    write_artifact(df.observe(seen, rows, *marks), target)
+    counted = seen.get
+    failed = {name: bad for name, bad in bad_rows.items() if counted[name]}
+    stored = read_artifact(df.sparkSession, target, df.schema)
+    per_key = _per_key(stored, _present_key(df, contract), failed)
+    counts = _counts(per_key, {}).select(
+        UNIQUENESS, *[F.lit(counted[name]).cast("long").alias(name) for name in bad_rows]
     )
-    if key:
-        samples = _samples(per_key, key, bad_rows, unique_checked)
+    source = target.path if source_path is None else source_path
+    return _rule_rows(
+        contract, findings, per_key, counts, failed, (validation_run_id, source, created_at)
+    )
+
+
+def _bad_rows(findings: dict[str, _Finding]) -> dict[str, Column]:
+    return {name: f.bad_row for name, f in findings.items() if f.bad_row is not None}
+
+
+def _present_key(df: DataFrame, contract: Contract) -> list[str]:
+    return [name for name in contract.uniqueness_key if name in df.columns]
+
+
+def _rule_rows(
+    contract: Contract,
+    findings: dict[str, _Finding],
+    per_key: DataFrame,
+    counts: DataFrame,
+    sampled: dict[str, Column],
+    identity: tuple[str, str, str | None],
+) -> DataFrame:
+    """The rule rows from the one row of counts, with sample keys of the rules in `sampled`."""
+    validation_run_id, source_path, created_at = identity
+    key = [name for name in contract.uniqueness_key if name in per_key.columns]
+    unique_checked = not findings[UNIQUENESS].missing
+    counted = set(_bad_rows(findings)) | ({UNIQUENESS} if unique_checked else set())
+    results = counts.select(F.inline(_statements(contract, findings, counted)))
+    if key and (sampled or unique_checked):
+        samples = _samples(per_key, key, sampled, unique_checked)
         results = results.join(samples, on="rule_id", how="left")
     else:
         results = results.withColumn("sample", F.lit(None).cast("string"))

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.generate import volume
-from millrace.operators import history, ranking
+from millrace.operators import contract, history, ranking
 from millrace.plans import retail
 from millrace.queries.events import PLAN, _planned
 from millrace.queries.metrics import _HISTORY, _LATEST_RUN, SQL as METRICS_SQL, _history
+from millrace.queries.quality import CREATED_AT, SQL as QUALITY_SQL, _contract_rows
 from millrace.queries.retail import _ENRICHED
 from millrace.queries.sql import STAR, total
 from millrace.sources import eventlog
@@ -21,6 +22,7 @@ from millrace.sources.tables import (
     event_log_lines,
     read_table,
     retail_tables,
+    run_counters,
     temporal_events,
 )
 
@@ -78,6 +80,15 @@ def volume_check_stored(spark: SparkSession, folder: str) -> DataFrame:
     return volume.volume_check(spikes, read_artifact(spark, store, events.schema))
 
 
+def contract_results_on_write(spark: SparkSession, folder: str) -> DataFrame:
+    """The rules over a metrics table with broken copies, counted while it is written."""
+    metrics = contract.with_broken_copies(_contract_rows(run_counters(spark, folder)))
+    store = Artifact(scratch_folder(spark, "checked-metrics"))
+    return contract.write_checked(
+        metrics, store, validation_run_id="check", source_path="runs", created_at=CREATED_AT
+    )
+
+
 def scanned_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of each table, and whether the scan met the files and bytes that are listed."""
     paths = {name: f"{folder}/{name}.parquet" for name in ALL_TABLES}
@@ -143,6 +154,7 @@ QUERIES = {
         stored_latest_run,
         eventlog_stored_stages,
         volume_check_stored,
+        contract_results_on_write,
         scanned_tables,
         rebalanced_write,
         artifact_formats,
@@ -163,6 +175,7 @@ actual AS (SELECT event_date, count(*) AS n FROM typed GROUP BY 1)
 SELECT event_date, expected_rows, coalesce(n, 0) AS actual_rows,
        coalesce(n, 0) = expected_rows AS matches
 FROM planned LEFT JOIN actual USING (event_date) WHERE volume_multiplier > 1""",
+    "contract_results_on_write": QUALITY_SQL["contract_results"],
     "scanned_tables": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, true AS as_listed FROM {name}"
         for name in ALL_TABLES

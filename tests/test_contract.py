@@ -2,11 +2,14 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import contract
 from millrace.operators.contract import Contract
 from millrace.plans.observability import gate_metrics
+from millrace.sources.artifacts import Artifact, read_artifact
+from millrace.sources.scratch import scratch_folder
 
 CLEAN = {
     "run_id": "run-1",
@@ -146,3 +149,59 @@ def test_table_without_any_key_column(spark):
 def test_empty_table_passes_the_value_rules(spark):
     rows = by_rule(contract.contract_results(clean(spark).limit(0)))
     assert len(rows) == 10 and all(row.failed_count == 0 for row in rows.values())
+
+
+# --- judged while written -------------------------------------------------------------
+
+
+def stored_results(spark, df, **options):
+    target = Artifact(scratch_folder(spark, "checked"), **options)
+    checked = contract.write_checked(df, target, source_path="p", created_at="t")
+    return checked, read_artifact(spark, target, df.schema)
+
+
+@pytest.mark.parametrize("lost", [(), ("num_tasks", "input_bytes"), ("run_id",), Contract.uniqueness_key])
+def test_written_table_gives_the_same_rule_rows(spark, lost):
+    copies = contract.with_broken_copies(clean(spark)).drop(*lost)
+    copies = copies.unionByName(copies).repartition(5)
+    checked, stored = stored_results(spark, copies)
+    plain = contract.contract_results(copies, source_path="p", created_at="t")
+    assert checked.schema.names == plain.schema.names
+    assert sorted(checked.collect()) == sorted(plain.collect())
+    assert sorted(map(str, stored.collect())) == sorted(map(str, copies.collect()))
+
+
+def test_partitioned_target_and_partitions_without_rows(spark):
+    copies = contract.with_broken_copies(clean(spark)).repartition(16)
+    checked, stored = stored_results(spark, copies, partition_by=("lab_id",))
+    plain = contract.contract_results(copies, source_path="p", created_at="t")
+    assert sorted(checked.collect()) == sorted(plain.collect())
+    assert stored.count() == 8
+
+
+@pytest.mark.parametrize("known_empty", [True, False])
+def test_written_table_without_rows(spark, known_empty):
+    none = clean(spark).limit(0) if known_empty else clean(spark).where("run_id = 'other'")
+    checked, stored = stored_results(spark, none)
+    assert all(r.decision == "PASS" for r in checked.collect()) and stored.count() == 0
+
+
+def test_source_is_worked_out_once_and_a_clean_table_is_read_by_its_keys(spark, plan_of):
+    touched = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for batch in batches:
+            touched.add(batch.num_rows)
+            yield batch
+
+    df = clean(spark)
+    checked, _ = stored_results(spark, df.mapInArrow(touch, df.schema))
+    assert all(r.decision == "PASS" and r.sample_failed_keys == "" for r in checked.collect())
+    assert touched.value == 1
+    read = [line for line in plan_of(checked).splitlines() if line.startswith("ReadSchema")]
+    assert read and all("num_tasks" not in line and "run_id" in line for line in read)
+
+
+def test_appending_is_refused(spark):
+    with pytest.raises(ValueError):
+        contract.write_checked(clean(spark), Artifact("/nowhere", mode="append"))
