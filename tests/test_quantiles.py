@@ -77,3 +77,11 @@ def test_the_counts_are_shuffled_once(spark, folder, plan_of):
     plan = plan_of(found).split("== Initial Plan ==")[0]
     assert plan.count("ReusedExchange (") == 3
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_rows_are_grouped_and_joined_without_their_wanted_ranks(spark, plan_of):
+    """Arrays and names in the keys of millions of groups took most of a task's memory."""
+    df = spark.range(1000).select((F.col("id") % 7).alias("key"), F.col("id").alias("v"))
+    plan = plan_of(exact_quantiles(df, ["key"], "v", {"median": 500, "p95": 950}))
+    keys = [line for line in plan.splitlines() if line.startswith("Keys")]
+    assert keys and not any("_ranks" in line for line in keys)
