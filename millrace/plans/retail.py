@@ -98,9 +98,9 @@ def audit_fingerprint(
 ) -> DataFrame:
     """SHA-256 of a key text, repeated 512 times in the slow bucket.
 
-    It is a per-row computation, so the default plan has no shuffle at all. A
-    keyed exchange on ``audit_bucket`` piles the costly rows into one task and a
-    salted one spreads them again.
+    It is a per-row computation, so the default plan has no shuffle at all. It is done
+    before an exchange moves the rows, in the tasks that read them: a keyed exchange on
+    ``audit_bucket`` would pile the costly rows into one task. The digest moves as 32 bytes.
     """
     text = F.concat_ws(
         ":",
@@ -114,8 +114,9 @@ def audit_fingerprint(
     )
     return (
         enriched.withColumn("audit_bucket", audit_bucket(algorithm))
+        .withColumn("audit_fingerprint", F.unhex(F.sha2(F.repeat(text, repeats), 256)))
         .transform(exchange)
-        .withColumn("audit_fingerprint", F.sha2(F.repeat(text, repeats), 256))
+        .withColumn("audit_fingerprint", F.lower(F.hex("audit_fingerprint")))
     )
 
 

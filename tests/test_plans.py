@@ -2,6 +2,7 @@
 
 import re
 
+from millrace.operators import layout
 from millrace.operators.ranking import top_n
 from millrace.plans import retail, temporal
 from millrace.queries import all_queries
@@ -35,6 +36,17 @@ def test_audit_fingerprint_needs_no_shuffle(spark, folder, plan_of):
     assert exchanges(main) == 0
 
 
+def test_audit_rows_are_hashed_before_a_keyed_exchange_piles_them_up(spark, folder, plan_of):
+    enriched = retail.sales_enriched(retail_tables(spark, folder))
+    exchange = layout.keyed("audit_bucket", partitions=16)
+    df = retail.audit_fingerprint(enriched, exchange)
+    main = plan_of(df).split("===== Subqueries =====")[0]
+    assert main.index("sha2(") < main.index("REPARTITION_BY_NUM")
+    plain = retail.audit_fingerprint(enriched)
+    assert df.exceptAll(plain).isEmpty() and plain.exceptAll(df).isEmpty()
+    assert plain.where(~F.col("audit_fingerprint").rlike("^[0-9a-f]{64}$")).isEmpty()
+
+
 def test_two_level_summary_moves_raw_rows_once(spark, folder, plan_of):
     tables = retail_tables(spark, folder)
     for method in (retail.EXACT, retail.APPROXIMATE, retail.SKETCH):
