@@ -202,6 +202,19 @@ def test_source_is_worked_out_once_and_a_clean_table_is_read_by_its_keys(spark,
     assert read and all("num_tasks" not in line and "run_id" in line for line in read)
 
 
+def test_counts_and_samples_of_a_written_table_share_one_shuffle(spark, plan_of):
+    copies = contract.with_broken_copies(clean(spark)).repartition(4)
+    checked, _ = stored_results(spark, copies)
+    failed = {r.rule_id: r.failed_count for r in checked.collect() if r.failed_count}
+    assert failed == {
+        r.rule_id: r.failed_count
+        for r in contract.contract_results(copies).collect()
+        if r.failed_count
+    }
+    plan = plan_of(checked).split("== Initial Plan ==")[0]
+    assert len(failed) > 5 and plan.count("ReusedExchange (") == 1
+
+
 def test_appending_is_refused(spark):
     with pytest.raises(ValueError):
         contract.write_checked(clean(spark), Artifact("/nowhere", mode="append"))
