@@ -14,6 +14,8 @@ import numpy as np
 LANES = 256
 BLOCK_IDS = 1 << 16
 TOGETHER = 8
+#: Ids below this are counted and numbered by a table, larger ones by sorting.
+TABLED = 1 << 22
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
 _MASK = np.uint64(0xFFFFFFFF)
@@ -29,7 +31,12 @@ class Table:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Table:
-        symbols, counts = np.unique(ids, return_counts=True)
+        if len(ids) and int(ids.max()) < TABLED:
+            counts = np.bincount(ids)
+            symbols = np.flatnonzero(counts)
+            counts = counts[symbols]
+        else:
+            symbols, counts = np.unique(ids, return_counts=True)
         bits = max(16, int(len(symbols)).bit_length() + 2)
         whole = 1 << bits
         shares = np.maximum(1, counts * whole // max(1, counts.sum())).astype(np.int64)
@@ -49,9 +56,18 @@ class Table:
         return np.cumsum(self.shares) - self.shares
 
 
+def _codes(ids: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """The place of each id among the symbols."""
+    if not len(symbols) or int(symbols[-1]) >= TABLED:
+        return np.searchsorted(symbols, ids)
+    places = np.zeros(int(symbols[-1]) + 1, np.int64)
+    places[symbols] = np.arange(len(symbols))
+    return places[ids]
+
+
 def encode(ids: np.ndarray, table: Table) -> list[bytes]:
     """The blocks: final states of the lanes, then words in the order of decoding."""
-    codes = np.searchsorted(table.symbols, ids)
+    codes = _codes(ids, table.symbols)
     whole = len(ids) // BLOCK_IDS
     out: list[bytes] = []
     for lo in range(0, whole, TOGETHER):

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import io
 import os
-import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -31,8 +30,9 @@ from millrace.llm.words import slices, texts, word_hashes
 
 MAGIC = b"IDSRANS1"
 FILE_TEXT_BYTES = 24 << 20
-#: Pieces of text whose ids a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Pieces of text whose ids a worker remembers, and their ids, before it starts anew.
+REMEMBERED = 1_000_000
+REMEMBERED_IDS = 16_000_000
 LONGEST_REMEMBERED = 64
 PARTS_BY_PATTERN = "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
 
@@ -60,8 +60,9 @@ class Encoder:
     The library first parts a text by a pattern and then encodes the parts on their own. Texts
     are cut at some of those places that are plain to see: before a space that other than
     white space follows, before a sign after a letter, and around a single line break. The
-    distinct pieces of a few megabytes are encoded by the library, and the ids of pieces are
-    remembered. Texts with a special token's string stay in one piece.
+    distinct pieces are encoded by the library, and the ids of short ones are remembered in
+    arrays by the pieces' 64-bit hashes, so that only new pieces become Python objects. Texts
+    with a special token's string stay in one piece.
     """
 
     def __init__(self, tokenizer: str):
@@ -71,24 +72,56 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         special = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [t.content.encode() for t in special]
-        self.known: dict[bytes, bytes] = {}
+        self._forget()
         # The pattern can't part letters, so such a piece goes to the model at once.
         self.plain = str(self.tokenizer.pre_tokenizer) == PARTS_BY_PATTERN
         self.plain = self.plain and self.tokenizer.normalizer is None
 
-    def _piece(self, piece: bytes) -> bytes:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.places = self.sizes = np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _piece(self, piece: bytes) -> list[int]:
         text = piece.decode()
         if self.plain and text[text[:1] == " " :].isalpha():
-            tokens = self.tokenizer.model.tokenize("".join([_BYTE_CHARS[b] for b in piece]))
-            ids = [t.id for t in tokens]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        found = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= LONGEST_REMEMBERED:
-            self.known[piece] = found
-        return found
+            if piece.isascii():
+                chars = text.replace(" ", _BYTE_CHARS[32])
+            else:
+                chars = "".join([_BYTE_CHARS[b] for b in piece])
+            return [t.id for t in self.tokenizer.model.tokenize(chars)]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _found(
+        self, raw: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Where in `flat` the ids of distinct pieces are, by ascending hash, and how many."""
+        if len(self.hashes) > REMEMBERED or self.used > REMEMBERED_IDS:
+            self._forget()
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        places, sizes = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        places[known], sizes[known] = self.places[at[known]], self.sizes[at[known]]
+        new = np.flatnonzero(~known)
+        ids: list[int] = []
+        upto = [0]
+        for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True):
+            ids += self._piece(raw[a:b])
+            upto.append(len(ids))
+        upto = np.array(upto, np.int64)
+        places[new], sizes[new] = self.used + upto[:-1], np.diff(upto)
+        if self.used + len(ids) > len(self.flat):
+            more = np.zeros(self.used + 2 * len(ids), np.uint32)
+            self.flat = np.concatenate([self.flat[: self.used], more])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        kept = new[(ends - starts)[new] <= LONGEST_REMEMBERED]
+        self.hashes = np.insert(self.hashes, at[kept], hashes[kept])
+        self.places = np.insert(self.places, at[kept], places[kept])
+        self.sizes = np.insert(self.sizes, at[kept], sizes[kept])
+        return places, sizes
 
     def ids(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Some texts at a time: their ids one after the other, and how many each has."""
@@ -117,18 +150,12 @@ class Encoder:
             ends = np.append(starts[1:], len(part)) if len(starts) else starts
             first = np.searchsorted(starts, offsets)
             hashes = word_hashes(part, starts, ends)
-            _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
-            found = []
-            for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True):
-                piece = raw[a:b]
-                found.append(self.known.get(piece) or self._piece(piece))
-            sizes = np.array([len(x) // 4 for x in found], np.int64)
-            flat = np.frombuffer(b"".join(found), "<u4")
-            places = np.cumsum(sizes) - sizes
+            distinct, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+            places, sizes = self._found(raw, distinct, starts[one], ends[one])
             counts = sizes[which]
             upto = np.concatenate([[0], np.cumsum(counts)])
             take = np.arange(upto[-1]) + np.repeat(places[which] - upto[:-1], counts)
-            yield flat[take], np.diff(upto[first])
+            yield self.flat[take], np.diff(upto[first])
 
 
 def pack(ids: np.ndarray, docs: list[int | None], counts: list[int]) -> Iterator[bytes]:

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from millrace.llm import decontam, jaccard, rans, token_files
+from millrace.llm import decontam, jaccard, rans, token_files, words
 from millrace.llm.queries import SQL
 from tests.oracle import compare
 
@@ -52,6 +52,45 @@ def test_encoder_cuts_like_the_library():
     assert np.concatenate([n for _, n in found]).tolist() == [len(x.ids) for x in plain]
 
 
+@pytest.mark.parametrize("remembered, ids", [(1_000_000, 16_000_000), (20, 16_000_000), (1_000_000, 50)])
+def test_pieces_are_remembered_by_hash_and_forgotten(monkeypatch, remembered, ids):
+    """Short pieces of earlier slices are found in arrays; a full memory starts anew."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "REMEMBERED", remembered)
+    monkeypatch.setattr(token_files, "REMEMBERED_IDS", ids)
+    monkeypatch.setattr(token_files, "slices", lambda at: words.slices(at, 64))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = token_files.Encoder(open(path, encoding="utf-8").read())
+    asked, piece = [], encoder._piece
+    monkeypatch.setattr(encoder, "_piece", lambda x: asked.append(x) or piece(x))
+    random.seed(4)
+    parts = [f" w{i} été{i} Straße" for i in range(30)] + ["x" * 90, "\n\n", ""]
+    texts = ["".join(random.choices(parts, k=9)) for _ in range(60)]
+    found = list(encoder.ids(pa.array(texts))) + list(encoder.ids(pa.array(texts)))
+    plain = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert len(found) > 50
+    assert np.concatenate([x for x, _ in found]).tolist() == 2 * [i for x in plain for i in x.ids]
+    short = [x for x in asked if len(x) <= token_files.LONGEST_REMEMBERED]
+    assert (len(short) == len(set(short))) == (remembered > 20 and ids > 50)
+    assert len(encoder.hashes) == len(set(short)) or len(short) > len(set(short))
+
+
+@pytest.mark.parametrize("most", [300, rans.TABLED, 1 << 32])
+def test_ids_are_numbered_by_a_table_or_by_sorting(monkeypatch, most):
+    ids = np.random.default_rng(2).integers(0, most, 70_000).astype(np.uint32)
+    ids[:9] = most - 1
+    table = rans.Table.of(ids)
+    blocks = rans.encode(ids, table)
+    assert (rans.decode(blocks, [rans.BLOCK_IDS, 70_000 - rans.BLOCK_IDS], table) == ids).all()
+    monkeypatch.setattr(rans, "TABLED", 0)
+    sorted_table = rans.Table.of(ids)
+    assert (sorted_table.symbols == table.symbols).all()
+    assert (sorted_table.shares == table.shares).all()
+    assert rans.encode(ids, sorted_table) == blocks
+
+
 def test_divide_skip_against_counting():
     random.seed(1)
     for _ in range(200):
