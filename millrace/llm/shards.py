@@ -72,13 +72,14 @@ def shuffle(
     """The columns of docs (with doc_id and text), and shard and slot of each row.
 
     First pass: each row goes to a bucket by a seeded hash of its columns, as many buckets as
-    keep one within memory, and the buckets are written. So copies of a text, rows of a source
-    and rows without a doc_id are scattered alike. Rows with the same hash are counted
-    first; where they are many (MANY_ALIKE, or an eighth of a bucket's bytes), their number
-    among equal rows is hashed too, so that they spread over all buckets. Second pass: each bucket is read, put in the order of its rows and Fisher-Yates shuffled with draws
-    seeded by the bucket. The buckets one after the other are the new order; its row p goes to
-    shard p mod shards, slot p div shards. Row counts of shards differ by one at most, and slots
-    have no gap.
+    keep one within memory. So copies of a text, rows of a source and rows without a doc_id are
+    scattered alike. Rows with the same hash are counted first; where they are many
+    (MANY_ALIKE, or an eighth of a bucket's bytes), their number among equal rows is hashed
+    too, so that they spread over all buckets. Second pass: each bucket is read, put in the
+    order of its rows, Fisher-Yates shuffled with draws seeded by the bucket, and written, a
+    row for each document, so that no page or batch of the files holds whole buckets. The
+    buckets one after the other are the new order; its row p goes to shard p mod shards, slot
+    p div shards. Row counts of shards differ by one at most, and slots have no gap.
 
     The result depends on the rows, the seed and the bucket sizes only. Null texts and ids are
     ordinary values, no rows give no rows. Only rows alike in all columns, and few of them,
@@ -107,16 +108,31 @@ def shuffle(
         rows = numbered(keyed, alike)
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-held // TASK_BYTES))
     bucket = F.pmod(F.xxhash64(F.lit(seed), "h", "copy"), F.lit(buckets))
-    row = F.struct("document.doc_id", F.xxhash64("document.text"), "document")
-    scattered = (
-        rows.select(bucket.alias("bucket"), row.alias("row"))
-        .repartition(min(tasks, buckets), "bucket")
-        .groupBy("bucket")
-        .agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    scattered = rows.select(
+        bucket.alias("bucket"),
+        F.col("document.doc_id").alias("id"),
+        F.xxhash64("document.text").alias("content"),
+        "document",
+    ).repartition(min(tasks, buckets), "bucket")
+    inside = W.partitionBy("bucket")
+    ordered = scattered.withColumns(
+        {
+            "from": F.row_number().over(inside.orderBy("id", "content", "document")) - 1,
+            "n": F.count("*").over(inside).cast("int"),
+        }
     )
-    written = cut(scattered.withColumn("n", F.size("rows")), "shuffle-buckets")
+    # The draws are made once a bucket, beside its first row, and shown to the others.
+    drawn = F.when(
+        F.col("from") == 0, fisher_yates(F.col("n"), F.xxhash64(F.lit(seed), "bucket"))
+    )
+    placed = ordered.withColumn("drawn", drawn).withColumn(
+        "order", F.first("drawn", ignorenulls=True).over(inside)
+    )
+    place = F.array_position("order", F.col("from")) - 1
+    written = cut(placed.select("bucket", "n", place.alias("place"), "document"), "shuffle-buckets")
     together = F.floor(F.col("bucket") / BUCKETS_TOGETHER)
-    sizes = written.select("bucket", "n", together.alias("range"))
+    sizes = cut(written.where("place = 0").select("bucket", "n"), "shuffle-sizes")
+    sizes = sizes.withColumn("range", together)
     ranges = sizes.groupBy("range").agg(F.sum("n").alias("n"))
     earlier = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     ranges = ranges.select("range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
@@ -128,14 +144,9 @@ def shuffle(
     )
     if buckets <= OFFSETS_SENT:
         offsets = F.broadcast(offsets)
-    mixed = (
-        written.join(offsets, "bucket")
-        .withColumn("order", fisher_yates(F.col("n"), F.xxhash64(F.lit(seed), "bucket")))
-        .select("first", "rows", F.posexplode("order").alias("place", "from"))
-    )
-    document = F.get(F.col("rows"), F.col("from"))["document"]
     position = F.col("first") + F.col("place")
-    return mixed.select(document.alias("document"), position.alias("position")).select(
+    mixed = written.join(offsets, "bucket").select("document", position.alias("position"))
+    return mixed.select(
         "document.*",
         F.pmod("position", F.lit(shards)).cast("int").alias("shard"),
         F.floor(F.col("position") / shards).cast("long").alias("slot"),

@@ -106,6 +106,24 @@ def test_sharding_spreads_rows_alike(spark, monkeypatch):
     assert Counter(map(tuple, out)) == Counter(map(tuple, again))
 
 
+def test_sharding_writes_documents_one_by_one(spark, monkeypatch):
+    """Memory to write and read buckets is that of a page of documents, whatever a bucket holds."""
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("text "), F.col("id").cast("int")).alias("text")
+    )
+    written = {}
+    monkeypatch.setattr(
+        shards, "cut", lambda df, name: written.setdefault(name, cut(df, name))
+    )
+    out = shards.shuffle(docs, shards=7, bucket_rows=100).collect()
+    buckets = written["shuffle-buckets"]
+    assert not any(kind.startswith(("array", "map")) for _, kind in buckets.dtypes)
+    assert Counter(r["document"] for r in buckets.collect()) == Counter(docs.collect())
+    assert buckets.select("bucket").distinct().count() == 4
+    assert buckets.select("bucket", "place").distinct().count() == 400
+    assert sorted(r["slot"] * 7 + r["shard"] for r in out) == list(range(400))
+
+
 def test_shards_are_written_in_slot_order(spark, docs, tmp_path):
     shuffled = cut(shards.shuffle(docs, shards=3, bucket_rows=3), "shuffled")
     shards.write_shards(shuffled, str(tmp_path / "shards"))
