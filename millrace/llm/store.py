@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parent.parent
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _shipped: set[str] = set()
 
 
@@ -42,8 +43,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Writes the rows once and reads them back, so that later steps start from a table."""
+    """Writes the rows once and reads them back, so that later steps start from a table.
+
+    Shuffle files of the write go when it ends; else they would stay on the executors' disks
+    until the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
