@@ -9,10 +9,12 @@ stands in at least one of the other, short ones.
    is right; a good one keeps the lists short.
 2. Each text gives its set's fingerprint and its |x| - T + 1 rarest shingles. Equal sets are
    one class from here on.
-3. The short lists are grouped by shingle. A list of few classes gives pairs. A list of many
-   gives only a chain through its classes in order of size; classes so chained make a block,
-   which is cut into cells, and cells of near enough sizes meet two by two.
-4. Each pair or meeting of cells is a search: an inverted index of its sets is built, the short
+3. The short lists are grouped by shingle. Two classes of a list may link only if their sizes,
+   the shingles that follow this one in their orders and their sketches allow it. A list of few
+   classes gives the pairs that may link. A list of many gives only as many of them as hold
+   together what may link; classes so held make a block, which is cut into cells, and cells of
+   near enough sizes meet two by two.
+4. Each pair or meeting of cells is a search, for which texts are moved: an inverted index of its sets is built, the short
    lists of each query are merged on a heap, candidates are probed in the long ones by binary
    search, and those with the overlap asked for are links.
 5. Links make components.
@@ -21,6 +23,7 @@ stands in at least one of the other, short ones.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,10 @@ COUNT_BITS = 22
 COUNT_PARTS = 64
 #: A list of more classes than this is chained instead of paired.
 SHORT_LIST = 16
+#: Classes in a part of a longer list; parts meet two by two.
+LIST_PART = 2048
+#: A sketch has as many bits as its set has shingles, or up to twice as many, within these.
+LEAST_BITS, MOST_BITS = 64, 1 << 16
 #: Classes in a cell of a block.
 CELL = 128
 
@@ -66,6 +73,30 @@ def fingerprint(found: np.ndarray) -> int:
     return int(mix(both[:1] * np.uint64(3) + mix(both[1:])).astype(np.int64)[0])
 
 
+def sketch(found: np.ndarray) -> bytes:
+    """Bits that count shingles modulo two, each shingle in the bit that its hash tells.
+
+    Sketches of two sets differ in at most as many bits as the sets differ in shingles. The
+    half of a sketch is that of its halves' differences.
+    """
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (len(found) - 1).bit_length()))
+    counts = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(sketch1: bytes, n1: int, sketch2: bytes, n2: int) -> bool:
+    """False only if the sets' sketches differ in too many bits for a link.
+
+    Linked sets of n1 and n2 shingles share 4 / 9 of n1 + n2, so they differ in 1 / 9 of it.
+    """
+    long, short = sorted((sketch1, sketch2), key=len, reverse=True)
+    bits, width = int.from_bytes(long, "little"), len(long)
+    while width > len(short):
+        width //= 2
+        bits = (bits >> 8 * width) ^ (bits & ((1 << 8 * width) - 1))
+    return 9 * (bits ^ int.from_bytes(short, "little")).bit_count() <= n1 + n2
+
+
 def _cell(found: np.ndarray) -> np.ndarray:
     return (found >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
@@ -118,27 +149,27 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 
 def _narrow(counts: np.ndarray) -> bytes:
-    """Counts in one byte where that is enough."""
+    """Counts in one byte where that is enough, packed, as most are small."""
     kind = np.uint8 if counts.max(initial=0) < 256 else np.uint32
-    return bytes([kind().itemsize]) + counts.astype(kind).tobytes()
+    return bytes([kind().itemsize]) + zlib.compress(counts.astype(kind).tobytes(), 1)
 
 
 def _wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8 if data[0] == 1 else np.uint32, offset=1)
+    return np.frombuffer(zlib.decompress(data[1:]), np.uint8 if data[0] == 1 else np.uint32)
 
 
 def described(docs: DataFrame, levels) -> DataFrame:
-    """doc_id, content (hash of the text), n (set size), mark (fingerprint) and the rarest
-    shingles of each text.
+    """doc_id, content (hash of the text), n (set size), mark (fingerprint), the rarest
+    shingles of each text, rarest first, and its sketch.
 
-    The shingles stand only at the first text of a set in a batch of rows, which keeps large
+    Shingles and sketch stand only at the first text of a set in a task, which keeps large
     groups of copies from filling the lists.
     """
 
     def describe(batches):
         seen: set[tuple[int, int]] = set()
         for batch in batches:
-            n, marks, rare = [], [], []
+            n, marks, rare, sketches = [], [], [], []
             for found in sets_of(batch.column("text")):
                 size, mark = len(found), fingerprint(found)
                 n.append(size)
@@ -149,8 +180,10 @@ def described(docs: DataFrame, levels) -> DataFrame:
                     short = size - least_overlap(size) + 1
                     order = np.argsort(levels.value[_cell(found)], kind="stable")
                     rare.append(found[order[:short]].view(np.int64))
+                    sketches.append(sketch(found))
                 else:
                     rare.append(None)
+                    sketches.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -158,67 +191,216 @@ def described(docs: DataFrame, levels) -> DataFrame:
                     pa.array(n, pa.int64()),
                     pa.array(marks, pa.int64()),
                     pa.array(rare, pa.list_(pa.int64())),
+                    pa.array(sketches, pa.binary()),
                 ],
-                ["doc_id", "content", "n", "mark", "rare"],
+                ["doc_id", "content", "n", "mark", "rare", "sketch"],
             )
 
     return docs.select("doc_id", "content", "text").mapInArrow(
-        describe, "doc_id long, content long, n long, mark long, rare array<long>"
+        describe,
+        "doc_id long, content long, n long, mark long, rare array<long>, sketch binary",
     )
 
 
-def searches(described: DataFrame, classes: DataFrame) -> DataFrame:
-    """(search, side, node, n, copies): which classes meet in which search.
+def _may_overlap(at1, at2):
+    """Whether two classes of a list may link, by their sizes and places of its shingle.
 
-    Side 0 is a query and side 1 a candidate; in the meeting of a cell with itself all are 2,
-    queries of those before them.
+    If it is the first shingle in order that both hold, they share no more than what follows
+    it in either; linked classes pass in the list of that shingle, which is short in both.
+    """
+    n1, n2 = F.shiftright(at1, 32), F.shiftright(at2, 32)
+    after1, after2 = n1 - at1.bitwiseAND(0xFFFFFFFF), n2 - at2.bitwiseAND(0xFFFFFFFF)
+    return (F.least(after1, after2) * 9 >= (n1 + n2) * 4) & (
+        F.least(n1, n2) * 5 >= F.greatest(n1, n2) * 4
+    )
+
+
+def listed(described: DataFrame) -> DataFrame:
+    """What the lists of two classes or more tell: pairs, and the members of long lists.
+
+    A pair that a list of up to SHORT_LIST classes holds is a row (node, other), node being
+    the larger. A member of a longer one is a row (shingle, node, at, part, parts) without
+    other; `at` holds the set's size in its high half and the shingle's place in the low one.
     """
-    by_shingle = W.partitionBy("shingle").orderBy("n", "mark")
-    whole = by_shingle.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     lists = described.where("rare IS NOT NULL").select(
-        "n", "mark", F.explode("rare").alias("shingle")
+        "n", F.xxhash64("n", "mark").alias("node"), F.posexplode("rare").alias("place", "shingle")
     )
+    # Three numbers a row: this is the largest shuffle of the search.
+    lists = lists.select("shingle", "node", F.expr("shiftleft(n, 32) + place").alias("at"))
+    by_shingle = W.partitionBy("shingle").orderBy("at", "node")
+    whole = by_shingle.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     lists = lists.withColumn("in_list", F.count("*").over(whole)).where("in_list > 1")
-    before = F.lag(F.struct("n", "mark")).over(by_shingle)
-    lists = lists.withColumn("before", before).where(
-        "before IS NULL OR before.n != n OR before.mark != mark"
+    lists = lists.withColumn("before", F.lag("node").over(by_shingle)).where(
+        "before IS NULL OR before != node"
     )
     lists = lists.withColumn("in_list", F.count("*").over(whole)).where("in_list > 1")
     earlier = by_shingle.rowsBetween(-(SHORT_LIST - 1), -1)
-    partner = F.when(
-        F.col("in_list") <= SHORT_LIST, F.collect_list(F.struct("n", "mark")).over(earlier)
-    ).otherwise(F.array(F.lag(F.struct("n", "mark")).over(by_shingle)))
-    pairs = (
-        lists.withColumn("partner", partner)
-        .select(
-            F.struct("n", "mark").alias("x"),
-            F.explode("partner").alias("y"),
-            (F.col("in_list") > SHORT_LIST).alias("chained"),
-        )
-        .where(F.col("y").isNotNull())
-        .where(F.col("y.n") * 5 >= F.col("x.n") * 4)
-        .groupBy("x", "y")
-        .agg(F.max("chained").alias("chained"))
+    lists = lists.withColumns(
+        {
+            "earlier": F.collect_list(F.struct("at", "node")).over(earlier),
+            "part": F.floor((F.row_number().over(by_shingle) - 1) / LIST_PART),
+        }
+    )
+    short = F.col("in_list") <= SHORT_LIST
+    near = F.filter("earlier", lambda y: _may_overlap(F.col("at"), y["at"]))
+    rows = lists.select(
+        "shingle",
+        "node",
+        "at",
+        "part",
+        F.ceil(F.col("in_list") / LIST_PART).alias("parts"),
+        F.explode(
+            F.when(short, near).otherwise(F.array(F.lit(None).cast("struct<at:long,node:long>")))
+        ).alias("y"),
     )
-    node = classes.select(F.struct("n", "mark").alias("key"), F.struct("node", "n", "copies").alias("c"))
-    pairs = cut(
-        pairs.join(node.select(F.col("key").alias("x"), F.col("c").alias("query")), "x")
-        .join(node.select(F.col("key").alias("y"), F.col("c").alias("other")), "y")
-        .select("query", "other", "chained"),
-        "jaccard-pairs",
+    # Places differ from list to list, so that only sizes and nodes order a pair.
+    x = F.struct(F.shiftright("at", 32).alias("n"), "node")
+    y = F.struct(F.shiftright("y.at", 32).alias("n"), F.col("y.node").alias("node"))
+    of_list = [F.when(F.col("y").isNull(), F.col(c)).alias(c) for c in ("shingle", "at", "part", "parts")]
+    return rows.select(
+        *of_list,
+        F.when(F.col("y").isNull(), F.col("node")).otherwise(F.greatest(x, y)["node"]).alias("node"),
+        F.when(F.col("y").isNotNull(), F.least(x, y)["node"]).alias("other"),
+    ).distinct()
+
+
+def close_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(query, other): the pairs (node, other) whose sketches allow a link, as classes."""
+    held = classes.select("node", F.struct("node", "n", "copies").alias("c"), "sketch")
+    pairs = pairs.join(
+        held.select("node", F.col("c").alias("query"), F.col("sketch").alias("sketch1")), "node"
+    ).join(
+        held.select(F.col("node").alias("other"), F.col("c").alias("c2"), F.col("sketch").alias("sketch2")),
+        "other",
     )
-    blocks = cut(
-        components(
-            pairs.where("chained").select(
-                F.col("query.node").alias("a"), F.col("other.node").alias("b")
+    pairs = pairs.select("query", F.col("c2").alias("other"), "sketch1", "sketch2")
+
+    def close(batches):
+        for batch in batches:
+            query, other = batch.column("query"), batch.column("other")
+            columns = (
+                batch.column("sketch1"), query.field("n"), batch.column("sketch2"), other.field("n")
             )
-        ),
-        "jaccard-blocks",
+            keep = [may_link(*x) for x in zip(*(c.to_pylist() for c in columns), strict=True)]
+            yield pa.RecordBatch.from_arrays([query, other], ["query", "other"]).filter(
+                pa.array(keep, pa.bool_())
+            )
+
+    return pairs.mapInArrow(close, pairs.select("query", "other").schema)
+
+
+def chained(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): edges that hold together the classes of long lists that may link.
+
+    Each part of a list meets each part before it and itself, so that a task holds two parts
+    of a list at most, however long it is.
+    """
+    rows = (
+        members.join(classes.select("node", "sketch"), "node")
+        .withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        .select(
+            "shingle",
+            F.greatest("part", "met").alias("high"),
+            F.least("part", "met").alias("low"),
+            "part",
+            "at",
+            "node",
+            "sketch",
+        )
     )
+    keys = ("shingle", "high", "low")
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "at", "node")
+
+    def run(batches):
+        held: list[tuple] = []
+        current = None
+        for batch in batches:
+            out = []
+            columns = [c.to_pylist() for c in batch.columns]
+            for *key, part, at, node, bits in zip(*columns, strict=True):
+                if key != current:
+                    out += _edges(current, held)
+                    held, current = [], key
+                held.append((part, at, node, bits))
+            yield _edge_batch(out)
+        yield _edge_batch(_edges(current, held))
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _edge_batch(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * 2
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+
+def _edges(key: list[int] | None, held: list[tuple]) -> list[tuple[int, int]]:
+    if len(held) < 2:
+        return []
+    parts, at, nodes, sketches = zip(*held, strict=True)
+    _, high, low = key
+    at = np.array(at, np.int64)
+    first = 1 if high == low else parts.index(high)
+    found = chain(at >> 32, at & 0xFFFFFFFF, sketches, first, len(at) if high == low else first)
+    return [(nodes[i], nodes[j]) for i, j in found]
+
+
+def chain(
+    sizes: np.ndarray, places: np.ndarray, sketches: list[bytes], first: int, end: int
+) -> list[tuple[int, int]]:
+    """Edges (i, j), j before i, that connect all members of a list that may link.
+
+    Members are in order of size, and so of the length of their sketches. Those from `first`
+    on look for those below `end`.
+    """
+    widths = np.array([len(s) for s in sketches])
+    tables = {
+        w: (k, np.frombuffer(b"".join(sketches[k : k + m]), np.uint64).reshape(m, -1))
+        for w, k, m in zip(*(x.tolist() for x in np.unique(widths, return_index=True, return_counts=True)), strict=True)
+    }
+    reach = np.searchsorted(sizes * 5, sizes * 4)
+    after = 9 * (sizes - places)
+    label = np.arange(len(sizes))
+    edges = []
+    for i in range(first, len(sizes)):
+        lo, hi = int(reach[i]), min(i, end)
+        if lo >= hi:
+            continue
+        needed = 4 * (sizes[lo:hi] + sizes[i])
+        near = lo + np.flatnonzero((after[lo:hi] >= needed) & (after[i] >= needed))
+        own = np.frombuffer(sketches[i], np.uint64)
+        found = []
+        while len(near):
+            start, table = tables.get(8 * len(own), (len(sizes), None))
+            split = int(np.searchsorted(near, start))
+            if split < len(near):
+                these = near[split:]
+                differ = np.bitwise_count(table[these - start] ^ own).sum(axis=1, dtype=np.int64)
+                found.append(these[9 * differ <= sizes[these] + sizes[i]])
+            near = near[:split]
+            own = own[: len(own) // 2] ^ own[len(own) // 2 :]
+        if not found or not len(close := np.concatenate(found)):
+            continue
+        labels, one = np.unique(label[close], return_index=True)
+        fresh = labels != label[i]
+        edges += [(i, j) for j in close[one[fresh]].tolist()]
+        if fresh.any():
+            label[np.isin(label, labels)] = label[i]
+    return edges
+
+
+def searches(described: DataFrame, classes: DataFrame) -> DataFrame:
+    """(search, side, node, n, copies): which classes meet in which search.
+
+    Side 0 is a query and side 1 a candidate; in the meeting of a cell with itself all are 2,
+    queries of those before them.
+    """
+    found = cut(listed(described), "jaccard-lists")
+    pairs = close_pairs(found.where("other IS NOT NULL").select("node", "other"), classes)
+    pairs = cut(pairs, "jaccard-pairs")
+    blocks = cut(components(chained(found.where("other IS NULL"), classes)), "jaccard-blocks")
     # Pairs inside a block meet there; they need no search of their own.
     single = (
-        pairs.where("NOT chained")
-        .join(blocks.select(F.col("node").alias("qn"), F.col("component").alias("qb")),
+        pairs.join(blocks.select(F.col("node").alias("qn"), F.col("component").alias("qb")),
               F.col("query.node") == F.col("qn"), "left")
         .join(blocks.select(F.col("node").alias("on"), F.col("component").alias("ob")),
               F.col("other.node") == F.col("on"), "left")
@@ -430,7 +612,9 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = cut(described(docs, levels), "jaccard-sets")
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content"))
     classes = (
-        rows.where("n > 0").groupBy("n", "mark").agg(lead.alias("first"), F.count("*").alias("copies"))
+        rows.where("n > 0")
+        .groupBy("n", "mark")
+        .agg(lead.alias("first"), F.count("*").alias("copies"), F.max("sketch").alias("sketch"))
     )
     classes = cut(
         classes.select(
@@ -440,6 +624,7 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.col("first.doc_id").alias("lead"),
             F.col("first.content").alias("content"),
             "copies",
+            "sketch",
         ),
         "jaccard-classes",
     )
@@ -458,7 +643,7 @@ def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             }
         )
     )
-    return rows.drop("rare"), joined
+    return rows.drop("rare", "sketch"), joined
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
