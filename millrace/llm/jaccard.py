@@ -77,7 +77,7 @@ def sketch(found: np.ndarray) -> bytes:
     """Bits that count shingles modulo two, each shingle in the bit that its hash tells.
 
     Sketches of two sets differ in at most as many bits as the sets differ in shingles. The
-    half of a sketch is that of its halves' differences.
+    two halves of a sketch, one xor the other, are the set's sketch of half the bits.
     """
     bits = min(MOST_BITS, max(LEAST_BITS, 1 << (len(found) - 1).bit_length()))
     counts = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
